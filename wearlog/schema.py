@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame
@@ -46,9 +45,6 @@ TRUTH_SCHEMA = T.StructType(
     ]
 )
 
-_SENSOR_NAME = re.compile(r"^(?P<prefix>.*?)(?P<num>\d+)$")
-
-
 def column_names(df_or_cols: DataFrame | Iterable[str]) -> list[str]:
     if isinstance(df_or_cols, DataFrame):
         return list(df_or_cols.columns)
