@@ -279,6 +279,246 @@ def q_test_rul_tail(spark, sf_dir):
     return last.select(*KEYS, "cycle", "rul")
 
 
+# --- text sources (files derived from the tables) ----------------------------
+
+_WRITTEN: dict[tuple, str] = {}
+
+
+def fixture_text_files(spark: SparkSession, sf_dir: str) -> str:
+    """Write the lineitem fleets as cycle files (train and test) and the
+    supplier truth as ordered truth files, once per session; returns the
+    folder. Each logical file is a folder of ordered part files."""
+    import os
+
+    from .session import scratch_path
+
+    key = (id(spark._jsparkSession), os.path.abspath(sf_dir))
+    if key in _WRITTEN:
+        return _WRITTEN[key]
+    import uuid
+
+    root = scratch_path(spark, "raw", uuid.uuid4().hex[:12])
+    fa = _fa(spark, sf_dir)
+    values = ["unit_id", "cycle", "op_setting_1", "op_setting_2", "op_setting_3"] + [
+        f"sensor_{i}" for i in range(1, 22)
+    ]
+    line = F.concat_ws(
+        " ", *[(F.col(c) if c in fa.columns else F.lit(0.0)).cast("string") for c in values]
+    )
+    truth = supplier_truth(spark, sf_dir)
+    for ds in ("FD001", "FD002", "FD003"):
+        rows = fa.where(F.col("dataset_id") == ds).select(line.alias("value"))
+        rows.write.mode("overwrite").text(os.path.join(root, f"train_{ds}.txt"))
+        rows.write.mode("overwrite").text(os.path.join(root, f"test_{ds}.txt"))
+        (
+            truth.where(F.col("dataset_id") == ds)
+            .orderBy("unit_id")
+            .select(F.col("final_rul").cast("string").alias("value"))
+            .write.mode("overwrite")
+            .text(os.path.join(root, f"RUL_{ds}.txt"))
+        )
+    _WRITTEN[key] = root
+    return root
+
+
+def q_text_source_cycles(spark, sf_dir):
+    from .sources.cmapss import load_split
+
+    root = fixture_text_files(spark, sf_dir)
+    rows = load_split(spark, root, ["FD001", "FD002", "FD003"], "train", mode="strict")
+    return rows.select(*KEYS, "cycle", *SENSORS4)
+
+
+def q_text_source_truth(spark, sf_dir):
+    from .sources.cmapss import load_split
+
+    root = fixture_text_files(spark, sf_dir)
+    return load_split(spark, root, [1, 2, 3], "rul", mode="strict")
+
+
+def q_availability_grid(spark, sf_dir):
+    from .sources.listing import availability
+
+    root = fixture_text_files(spark, sf_dir)
+    available, missing = availability(spark, root, ["FD001", "fd002", "3", "FD004"])
+    return missing.select("dataset_id", F.explode("paths").alias("path")).unionByName(
+        available.select("dataset_id", F.lit(None).cast("string").alias("path"))
+    )
+
+
+# --- requests -------------------------------------------------------------------
+
+REQUEST_SIZE = 40
+
+
+def fixture_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Request bodies from the lineitem fleets: each unit's cycles in chunks
+    of 40 records; some chunks are made invalid on purpose (selector
+    v = (unit_id * 7 + chunk) % 10): 1 extra key, 2 missing field, 3 cycle 0,
+    4 no records, 5 unit 0; 6 repeats its last cycle with sensor_2 + 1000
+    (the later arrival must win)."""
+    from .sources.requests import RECORD_FIELDS
+
+    fa = _fa(spark, sf_dir)
+    chunk = F.floor((F.col("cycle") - 1) / REQUEST_SIZE).cast("long")
+    fields = [
+        (F.col(c).cast("long") if c == "cycle" else (F.col(c) if c in fa.columns else F.lit(0.0)).cast("double")).alias(c)
+        for c in RECORD_FIELDS
+    ]
+    grouped = fa.select(*KEYS, chunk.alias("chunk"), F.struct(*fields).alias("rec")).groupBy(
+        *KEYS, "chunk"
+    ).agg(F.sort_array(F.collect_list("rec")).alias("recs"), F.max_by("rec", F.col("rec.cycle")).alias("last"))
+    v = (F.col("unit_id") * 7 + F.col("chunk")) % 10
+    dup = F.col("last").withField("sensor_2", F.col("last.sensor_2") + 1000.0)
+    recs = F.when(v == 6, F.concat("recs", F.array(dup))).otherwise(F.col("recs"))
+    body = F.to_json(F.struct("unit_id", recs.alias("records")))
+    body = (
+        F.when(v == 1, F.regexp_replace(body, r"\}$", ',"extra":1}'))
+        .when(v == 2, F.regexp_replace(body, r'"sensor_7":[^,}]*,', ""))
+        .when(v == 3, F.regexp_replace(body, r'"cycle":[0-9]+', '"cycle":0'))
+        .when(v == 4, F.regexp_replace(body, r'"records":\[.*\]', '"records":[]'))
+        .when(v == 5, F.regexp_replace(body, r'^\{"unit_id":[0-9]+', '{"unit_id":0'))
+        .otherwise(body)
+    )
+    rid = F.concat_ws(":", "dataset_id", F.col("unit_id").cast("string"), F.col("chunk").cast("string"))
+    return grouped.select(rid.alias("request_id"), body.alias("body"))
+
+
+REQUEST_SENSORS = ["sensor_2", "sensor_3", "sensor_4"]
+
+
+def q_request_rejects(spark, sf_dir):
+    from .plans.scoring import request_features
+
+    _, rejects, _ = request_features(fixture_requests(spark, sf_dir))
+    return rejects.select("request_id", "unit_id", "status", "detail")
+
+
+def q_request_latest_features(spark, sf_dir):
+    from .plans.scoring import request_features
+
+    latest, _, _ = request_features(fixture_requests(spark, sf_dir))
+    names = feature_names(REQUEST_SENSORS, (5, 15, 30), (1, 3, 5))
+    return latest.select("request_id", "unit_id", "cycle", *[_r(c, 6) for c in names])
+
+
+# --- models and streams (rows-only checks) ------------------------------------
+
+
+def _bench_config(**kw):
+    from .plans.benchmark import BenchmarkConfig
+
+    base = dict(rf_num_trees=20, rf_max_depth=8, seq_max_rounds=5, seq_patience=2, sequence_stride=5)
+    base.update(kw)
+    return BenchmarkConfig(**base)
+
+
+def q_rf_validation_metrics(spark, sf_dir):
+    from .plans.benchmark import run_benchmark_on_frame
+
+    summary, _ = run_benchmark_on_frame(spark, _fa(spark, sf_dir), _bench_config())
+    return summary
+
+
+def q_benchmark_summary(spark, sf_dir):
+    from .plans.benchmark import run_benchmark_on_frame
+
+    summary, _ = run_benchmark_on_frame(
+        spark, _fa(spark, sf_dir), _bench_config(include_sequence_model=True)
+    )
+    return summary
+
+
+def q_rf_feature_importances(spark, sf_dir):
+    from .plans.benchmark import run_benchmark_on_frame
+    from .plans.models import feature_importances, top_importances
+
+    _, art = run_benchmark_on_frame(spark, _fa(spark, sf_dir), _bench_config(), datasets=["FD001"])
+    model = art["models"][("FD001", "random_forest")].model
+    return top_importances(feature_importances(spark, model), 15)
+
+
+def q_sequence_regressor_history(spark, sf_dir):
+    from .operators.split import apply_split, split_units
+    from .plans.models import train_sequence_regressor
+
+    lab = _labeled(spark, sf_dir).where(F.col("dataset_id") == "FD001")
+    seq = create_sequence_dataset(lab, ["op_setting_1", "sensor_2", "sensor_3", "sensor_4"], sequence_length=30, stride=5)
+    flagged = apply_split(seq, split_units(lab, 0.2, 42))
+    res = train_sequence_regressor(
+        flagged.where(~F.col("is_validation")), flagged.where(F.col("is_validation")), max_rounds=6, patience=0
+    )
+    return res.history
+
+
+def _scoring_model(spark, sf_dir):
+    """Forest trained on the lineitem fleets with the request feature set."""
+    from .operators.features import build_labeled_features
+    from .plans.models import forest_pipeline
+    from .schema import kept_sensors
+
+    fa = _fa(spark, sf_dir)
+    full = fa.select("*", *[F.lit(0.0).alias(f"sensor_{i}") for i in range(6, 22)])
+    sensors = kept_sensors(full)
+    feats = build_labeled_features(full, sensors)
+    names = feature_names(sensors, (5, 15, 30), (1, 3, 5))
+    return forest_pipeline(names, "rul", 42, num_trees=10, max_depth=6).fit(feats)
+
+
+def q_rf_batch_scores(spark, sf_dir):
+    from .plans.scoring import score_requests
+
+    responses, _ = score_requests(fixture_requests(spark, sf_dir), _scoring_model(spark, sf_dir), "lineitem_forest")
+    return responses
+
+
+def q_test_set_metrics(spark, sf_dir):
+    from .plans.benchmark import evaluate_on_test, run_benchmark_on_frame
+    from .schema import kept_sensors
+
+    cfg = _bench_config()
+    fa = _fa(spark, sf_dir)
+    _, art = run_benchmark_on_frame(spark, fa, cfg, datasets=["FD001"])
+    res = art["models"][("FD001", "random_forest")]
+    test = fa.where(F.col("dataset_id") == "FD001")
+    return evaluate_on_test(res.model, test, supplier_truth(spark, sf_dir), res.feature_columns, kept_sensors(fa), cfg)
+
+
+def q_stream_scores(spark, sf_dir):
+    """Replay the events fleet as a file stream (4 files, cycles out of
+    order) through the stateful scorer; returns each unit's last score."""
+    import os
+    import uuid
+
+    from .operators.features import build_labeled_features
+    from .plans.models import forest_pipeline
+    from .session import scratch_path
+    from .streaming.scoring import start_stream_scoring, unit_stream_features
+
+    fb = _fb(spark, sf_dir)
+    sensors = ["sensor_1", "sensor_2"]
+    root = scratch_path(spark, "stream-demo", uuid.uuid4().hex[:12])
+    src = os.path.join(root, "in")
+    # Four arrival files; file k holds cycles with (cycle * 7) % 4 == k, so
+    # units receive their cycles out of order across micro-batches.
+    for k in range(4):
+        fb.where((F.col("cycle") * 7) % 4 == k).write.mode("overwrite").parquet(os.path.join(src, f"f{k}"))
+    names = feature_names(sensors, (5, 15, 30), (1, 3, 5))
+    model = forest_pipeline(names, "rul", 42, num_trees=10, max_depth=6).fit(build_labeled_features(fb, sensors))
+    stream = spark.readStream.schema(fb.schema).option("maxFilesPerTrigger", 1).parquet(os.path.join(src, "*"))
+    feats = unit_stream_features(stream, sensors)
+    out = os.path.join(root, "out")
+    q = start_stream_scoring(feats, model, "events_forest", out, query_name=f"scores_{uuid.uuid4().hex[:8]}")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    scored = spark.read.parquet(out)
+    return scored.groupBy(*KEYS).agg(F.max_by(F.struct("cycle", "rul", "batch_id"), "batch_id").alias("s")).select(
+        *KEYS, "s.cycle", "s.rul"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rul_labels": q_rul_labels,
     "rul_labels_uncapped": q_rul_labels_uncapped,
@@ -308,6 +548,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "unit_trajectory": q_unit_trajectory,
     "normalize_ids": q_normalize_ids,
     "test_rul_tail": q_test_rul_tail,
+    "text_source_cycles": q_text_source_cycles,
+    "text_source_truth": q_text_source_truth,
+    "availability_grid": q_availability_grid,
+    "request_rejects": q_request_rejects,
+    "request_latest_features": q_request_latest_features,
+    "rf_validation_metrics": q_rf_validation_metrics,
+    "rf_feature_importances": q_rf_feature_importances,
+    "rf_batch_scores": q_rf_batch_scores,
+    "test_set_metrics": q_test_set_metrics,
+    "sequence_regressor_history": q_sequence_regressor_history,
+    "benchmark_summary": q_benchmark_summary,
+    "stream_scores": q_stream_scores,
 }
 
 
@@ -548,6 +800,49 @@ FROM n"""
 last AS (SELECT dataset_id, unit_id, max(cycle) AS cycle FROM fa GROUP BY dataset_id, unit_id)
 SELECT l.dataset_id, l.unit_id, l.cycle, t.final_rul AS rul
 FROM last l LEFT JOIN truth t USING (dataset_id, unit_id)"""
+    q["text_source_cycles"] = f"""WITH {_FA}
+SELECT dataset_id, unit_id, cycle, sensor_1, sensor_2, sensor_3, sensor_4 FROM fa"""
+    q["text_source_truth"] = f"""WITH {_TRUTH.format(where='')}
+SELECT dataset_id, CAST(row_number() OVER (PARTITION BY dataset_id ORDER BY unit_id) AS BIGINT) AS unit_id, final_rul
+FROM truth"""
+    chunk = "CAST(floor((cycle - 1) / 40.0) AS BIGINT)"
+    q["request_rejects"] = f"""WITH {_FA},
+c AS (SELECT dataset_id, unit_id, {chunk} AS chunk, count(*) AS n FROM fa GROUP BY ALL),
+v AS (SELECT *, (unit_id * 7 + chunk) % 10 AS v FROM c)
+SELECT dataset_id || ':' || CAST(unit_id AS VARCHAR) || ':' || CAST(chunk AS VARCHAR) AS request_id,
+       CASE WHEN v = 5 THEN CAST(0 AS BIGINT) ELSE unit_id END AS unit_id,
+       CAST(422 AS INTEGER) AS status,
+       CASE WHEN v = 1 THEN 'extra fields not permitted: extra'
+            WHEN v = 5 OR unit_id < 1 THEN 'unit_id must be an integer >= 1'
+            WHEN v = 4 THEN 'records must contain at least 1 item'
+            WHEN v = 2 THEN 'Missing required fields in a record'
+            WHEN v = 3 THEN 'cycle must be an integer >= 1'
+            ELSE 'Not enough cycles to compute rolling features. Provide at least 6 cycles for the largest lag, or more for stable windows.' END AS detail
+FROM v WHERE v BETWEEN 1 AND 5 OR n < 6 OR unit_id < 1"""
+    rs = ["sensor_2", "sensor_3", "sensor_4"]
+    wreq = "PARTITION BY dataset_id, unit_id, chunk ORDER BY cycle"
+    req_cols = []
+    for s_ in rs:
+        for n_ in (5, 15, 30):
+            fr = f"({wreq} ROWS BETWEEN {n_ - 1} PRECEDING AND CURRENT ROW)"
+            req_cols.append(f"round(avg({s_}) OVER {fr}, 6) AS {s_}_roll_mean_w{n_}")
+            req_cols.append(f"round(coalesce(stddev_pop({s_}) OVER {fr}, 0), 6) AS {s_}_roll_std_w{n_}")
+        for l_ in (1, 3, 5):
+            req_cols.append(f"lag({s_}, {l_}) OVER ({wreq}) AS {s_}_lag_{l_}")
+    q["request_latest_features"] = f"""WITH {_FA},
+c AS (SELECT *, {chunk} AS chunk FROM fa),
+cn AS (SELECT *, count(*) OVER (PARTITION BY dataset_id, unit_id, chunk) AS n,
+              max(cycle) OVER (PARTITION BY dataset_id, unit_id, chunk) AS last_cycle,
+              (unit_id * 7 + chunk) % 10 AS v FROM c),
+adj AS (SELECT dataset_id, unit_id, chunk, cycle,
+               CASE WHEN v = 6 AND cycle = last_cycle THEN sensor_2 + 1000.0 ELSE sensor_2 END AS sensor_2,
+               sensor_3, sensor_4
+        FROM cn WHERE NOT (v BETWEEN 1 AND 5) AND n >= 6 AND unit_id >= 1),
+f AS (SELECT dataset_id || ':' || CAST(unit_id AS VARCHAR) || ':' || CAST(chunk AS VARCHAR) AS request_id,
+             unit_id, cycle, {", ".join(req_cols)},
+             row_number() OVER (PARTITION BY dataset_id, unit_id, chunk ORDER BY cycle DESC) AS r
+      FROM adj)
+SELECT * EXCLUDE (r) FROM f WHERE r = 1"""
     return q
 
 
