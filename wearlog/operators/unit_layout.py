@@ -1,15 +1,22 @@
 """Skew-safe layout for per-unit sequential work (rolling, lag, sequences).
 
 A plain ``Window.partitionBy(dataset_id, unit_id)`` sends every row of a unit
-to one task; a unit holding a third of all rows would then be one task. Here a
-unit is cut into *parts* of at most ``width`` rows, and each part also gets a
-read-only *halo*: copies of the ``halo`` rows that precede it in cycle order.
-A window with ``rowsBetween(-halo, 0)`` evaluated per part therefore sees the
-same rows as one evaluated over the whole unit, and the halo rows are dropped
-afterwards. Windows then use ``partitionBy(*keys, PART).orderBy(POS)``.
-
-Two strategies, chosen from a small pre-aggregated *bucket index* (one row per
-unit and cycle bucket of ``width`` cycle values):
+to one task; a unit holding a third of all rows would then be one task.
+
+The layout is hybrid. One partial aggregate counts rows per unit; units above
+``hot_rows`` rows are *hot*. Their list is at most ``rows / hot_rows`` long,
+so it is broadcast. Ordinary units keep one window partition each (part 0, one
+shuffle, the cheapest plan). A hot unit is cut into *parts* of at most
+``width`` rows, and each part also gets a read-only *halo*: copies of the
+``halo`` rows that precede it in cycle order. A window with
+``rowsBetween(-halo, 0)`` evaluated per part therefore sees the same rows as
+one evaluated over the whole unit; the halo rows are dropped afterwards.
+Windows use ``partitionBy(*keys, PART).orderBy(cycle, PRE_POS)``; positions
+and last cycles come from :func:`position` and :func:`unit_last`.
+
+Hot units are laid out with one of two strategies, chosen from a small
+pre-aggregated *bucket index* (one row per unit and bucket of ``width`` cycle
+values):
 
 * ``dense`` - every unit has unique, gap-free cycles (the run-to-failure
   contract). Parts are cycle buckets, the halo is a cycle-value range, the
@@ -18,8 +25,8 @@ unit and cycle bucket of ``width`` cycle values):
   exactly (bucket offsets from the index + ``row_number`` inside a bucket),
   then parts are cut by position. Two shuffles of the data.
 
-Unit-level facts (row count, first and last cycle) travel with the index, so
-no big table is ever joined on the unit key alone.
+For hot units, unit-level facts (row count, first and last cycle) travel
+with the index, so their rows are never joined on the unit key alone.
 """
 
 from __future__ import annotations
@@ -42,9 +49,15 @@ _BUCKET_ROWS = "_bucket_rows"
 _OFFSET = "_bucket_offset"
 _DENSE = "_unit_dense"
 
-HELPER_COLUMNS = (PART, HALO, POS, UNIT_ROWS, UNIT_MIN, UNIT_MAX)
+PRE_POS = "_pre_pos"  # exact position, set on rows of hot units only
+PRE_MAX = "_pre_last_cycle"  # last cycle of the unit, hot units only
+
+HELPER_COLUMNS = (PART, HALO, PRE_POS, PRE_MAX)
 
 DEFAULT_WIDTH = 4096
+# A unit with more rows than this is split into parts (one window partition
+# of up to a million rows is an ordinary task).
+HOT_ROWS = 1 << 20
 
 
 def bucket_of(order_col: str, width: int) -> Column:
@@ -84,6 +97,16 @@ def all_units_dense(index: DataFrame) -> bool:
     return index.where(~F.col(_DENSE)).limit(1).count() == 0
 
 
+def hot_units(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
+    """Keys with more than ``hot_rows`` rows (partial aggregate). At most
+    ``total rows / hot_rows`` keys qualify, which bounds a broadcast of it."""
+    keys = list(keys)
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")) if keys else df.agg(
+        F.count(F.lit(1)).alias("_n")
+    )
+    return counts.where(F.col("_n") > hot_rows).select(*keys)
+
+
 def unit_layout(
     df: DataFrame,
     halo: int,
@@ -91,31 +114,55 @@ def unit_layout(
     order_col: str = CYCLE,
     width: int = DEFAULT_WIDTH,
     strategy: str = "auto",
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Rows of ``df`` plus ``_part``, ``_halo``, ``_pos`` and unit totals.
+    """Rows of ``df`` plus ``_part``, ``_halo`` and the hot-unit helpers.
 
     ``halo`` is how many preceding rows a part must see (``max window - 1``,
     ``max lag`` or ``sequence length - 1``). Rows with ``_halo`` true are
     copies that only feed windows; callers drop them with :func:`own_rows`.
+
+    ``strategy``: ``auto`` (hybrid, see module doc), ``chunked`` (every unit
+    split, dense/general chosen from the index), ``dense`` or ``general``
+    (every unit split with that method; for tests and known layouts).
     """
     keys = list(keys)
     if halo < 0:
         raise ValueError("halo must be >= 0")
     if width <= halo:
         raise ValueError("width must exceed the halo")
-    if strategy not in ("auto", "dense", "general"):
-        raise ValueError("strategy must be 'auto', 'dense' or 'general'")
+    if strategy not in ("auto", "chunked", "dense", "general"):
+        raise ValueError("strategy must be 'auto', 'chunked', 'dense' or 'general'")
     # Null keys or cycles cannot be placed in cycle order (the reference fails
     # on them as well); they are left out of the sequential layout.
     df = df.where(F.col(order_col).isNotNull())
     for k in keys:
         df = df.where(F.col(k).isNotNull())
+    cols = df.columns
+    if strategy != "auto":
+        return _chunked(df, halo, keys, order_col, width, strategy)
+    hot = hot_units(df, keys, hot_rows)
+    normal = df.select(
+        *cols,
+        F.lit(0).cast("long").alias(PART),
+        F.lit(False).alias(HALO),
+        F.lit(None).cast("long").alias(PRE_POS),
+        F.lit(None).cast(df.schema[order_col].dataType).alias(PRE_MAX),
+    )
+    if hot.limit(1).count() == 0:  # one aggregate job; the usual outcome
+        return normal
+    hot_b = F.broadcast(hot)
+    normal = normal.join(hot_b, keys, "left_anti")
+    split = _chunked(df.join(hot_b, keys, "left_semi"), halo, keys, order_col, width, "chunked")
+    return normal.unionByName(split)
+
+
+def _chunked(df, halo, keys, order_col, width, strategy):
     index = bucket_index(df, keys, order_col, width)
-    if strategy == "auto":
+    if strategy == "chunked":
         strategy = "dense" if all_units_dense(index) else "general"
-    if strategy == "dense":
-        return _dense_layout(df, index, halo, keys, order_col, width)
-    return _general_layout(df, index, halo, keys, order_col, width)
+    laid = (_dense_layout if strategy == "dense" else _general_layout)(df, index, halo, keys, order_col, width)
+    return laid.select(*df.columns, PART, HALO, F.col(POS).alias(PRE_POS), F.col(UNIT_MAX).alias(PRE_MAX))
 
 
 def _targets(bucket: Column, in_tail: Column) -> Column:
@@ -154,9 +201,21 @@ def _general_layout(df, index, halo, keys, order_col, width):
     )
 
 
-def part_window(keys: Sequence[str] = KEYS) -> Window:
+def part_window(keys: Sequence[str] = KEYS, order_col: str = CYCLE) -> Window:
     """Window spec for sequential work on a :func:`unit_layout` frame."""
-    return Window.partitionBy(*keys, PART).orderBy(POS)
+    return Window.partitionBy(*keys, PART).orderBy(order_col, PRE_POS)
+
+
+def position(keys: Sequence[str] = KEYS, order_col: str = CYCLE) -> Column:
+    """1-based position of a row in its unit's cycle order."""
+    return F.coalesce(
+        F.col(PRE_POS), F.row_number().over(part_window(keys, order_col)).cast("long")
+    )
+
+
+def unit_last(keys: Sequence[str] = KEYS, order_col: str = CYCLE) -> Column:
+    """Last cycle of the row's unit."""
+    return F.coalesce(F.col(PRE_MAX), F.max(order_col).over(Window.partitionBy(*keys, PART)))
 
 
 def own_rows(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -183,45 +242,53 @@ def row_ordinal(
     coarse: Column,
     fine: Column,
     out: str = "_ordinal",
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Exact 1-based ``row_number()`` per key in ``order_cols`` order, skew-safe.
 
-    ``coarse`` and ``fine`` must be non-decreasing in ``order_cols`` (for
-    example the day of a timestamp and a high-order slice of a tie-breaker id).
-    Offsets come from a two-level prefix sum over per-bucket counts, so no
-    window ever spans more than one key's coarse buckets or one coarse
-    bucket's fine buckets, and the final ``row_number`` runs per fine bucket.
+    Keys with at most ``hot_rows`` rows use a plain ranked window. Hot keys
+    (a broadcast list bounded by ``rows / hot_rows``) are ranked without one
+    task holding the key: ``coarse`` and ``fine`` must be non-decreasing in
+    ``order_cols`` (for example the day of a timestamp and a high-order slice
+    of a tie-breaker id); offsets come from a two-level prefix sum over
+    per-bucket counts, so no window spans more than one key's coarse buckets
+    or one coarse bucket's fine buckets, and the final ``row_number`` runs per
+    fine bucket.
     """
     keys = list(keys)
+    plain = df.withColumn(
+        out, F.row_number().over(Window.partitionBy(*keys).orderBy(*order_cols)).cast("long")
+    )
+    hot = hot_units(df, keys, hot_rows)
+    if hot.limit(1).count() == 0:
+        return plain
+    if not keys:
+        return _bucketed_ordinal(df, keys, order_cols, coarse, fine, out)
+    hot_b = F.broadcast(hot)
+    normal = df.join(hot_b, keys, "left_anti").withColumn(
+        out, F.row_number().over(Window.partitionBy(*keys).orderBy(*order_cols)).cast("long")
+    )
+    split = _bucketed_ordinal(df.join(hot_b, keys, "left_semi"), keys, order_cols, coarse, fine, out)
+    return normal.unionByName(split)
+
+
+def _bucketed_ordinal(df, keys, order_cols, coarse, fine, out):
     with_b = df.select("*", coarse.alias("_cb"), fine.alias("_fb"))
     counts = with_b.groupBy(*keys, "_cb", "_fb").agg(F.count(F.lit(1)).alias("_n"))
     coarse_tot = counts.groupBy(*keys, "_cb").agg(F.sum("_n").alias("_cn"))
+    before_c = Window.partitionBy(*keys).orderBy("_cb").rowsBetween(Window.unboundedPreceding, -1)
     coarse_off = coarse_tot.select(
-        *keys,
-        "_cb",
-        F.coalesce(
-            F.sum("_cn").over(
-                Window.partitionBy(*keys).orderBy("_cb").rowsBetween(Window.unboundedPreceding, -1)
-            ),
-            F.lit(0),
-        ).alias("_coff"),
+        *keys, "_cb", F.coalesce(F.sum("_cn").over(before_c), F.lit(0)).alias("_coff")
     )
+    before_f = Window.partitionBy(*keys, "_cb").orderBy("_fb").rowsBetween(Window.unboundedPreceding, -1)
     fine_off = counts.select(
-        *keys,
-        "_cb",
-        "_fb",
-        F.coalesce(
-            F.sum("_n").over(
-                Window.partitionBy(*keys, "_cb")
-                .orderBy("_fb")
-                .rowsBetween(Window.unboundedPreceding, -1)
-            ),
-            F.lit(0),
-        ).alias("_foff"),
+        *keys, "_cb", "_fb", F.coalesce(F.sum("_n").over(before_f), F.lit(0)).alias("_foff")
     )
     offsets = fine_off.join(coarse_off, [*keys, "_cb"]).select(
         *keys, "_cb", "_fb", (F.col("_coff") + F.col("_foff")).alias("_off")
     )
     located = with_b.join(offsets, [*keys, "_cb", "_fb"])
     w = Window.partitionBy(*keys, "_cb", "_fb").orderBy(*order_cols)
-    return located.withColumn(out, F.col("_off") + F.row_number().over(w)).drop("_cb", "_fb", "_off")
+    return located.withColumn(out, (F.col("_off") + F.row_number().over(w)).cast("long")).drop(
+        "_cb", "_fb", "_off"
+    )

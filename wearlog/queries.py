@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions.ids import dataset_ids_col, fd_id_col
-from .operators.features import build_rolling_features, feature_names
+from .operators.features import build_labeled_features, build_rolling_features, feature_names
 from .operators.fingerprint import dataframe_fingerprint
 from .operators.labels import add_rul_targets, add_test_rul_targets, missing_truth_units
 from .operators.latest import dedupe_keep_last, latest_row_per_unit
@@ -102,8 +102,7 @@ def q_lag_features(spark, sf_dir):
 
 
 def q_rolling_features_wide(spark, sf_dir):
-    lab = add_rul_targets(_fa(spark, sf_dir), cap=125)
-    feats = build_rolling_features(lab, SENSORS4)
+    feats = build_labeled_features(_fa(spark, sf_dir), SENSORS4, cap=125)
     names = feature_names(SENSORS4, (5, 15, 30), (1, 3, 5))
     return feats.select(*KEYS, "cycle", "rul", *[_r(c, 6) for c in names])
 
