@@ -84,9 +84,21 @@ def write_run_metadata(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 
-def save_model(model: PipelineModel, path: str) -> None:
+def save_model(model: PipelineModel, path: str, metadata: dict | None = None) -> None:
+    """Save the pipeline; ``metadata`` (input features, sequence length, best
+    round, metrics, ...) goes to a one-row JSON table beside it."""
     model.write().overwrite().save(path)
+    spark = SparkSession.getActiveSession()
+    meta = {"feature_columns": list(model.stages[0].getInputCols()) if hasattr(model.stages[0], "getInputCols") else []}
+    meta.update(metadata or {})
+    row = spark.createDataFrame([(json.dumps(meta, default=str, sort_keys=True),)], "metadata string")
+    row.coalesce(1).write.mode("overwrite").text(path.rstrip("/") + "_metadata")
 
 
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
+
+
+def load_model_metadata(spark: SparkSession, path: str) -> dict:
+    text = spark.read.text(path.rstrip("/") + "_metadata").first()[0]
+    return json.loads(text)
