@@ -16,18 +16,22 @@ def test_matches_percentile(spark):
         .alias("v"),
     ).union(spark.createDataFrame([(3, 2.5), (3, 2.5), (4, -1e300), (4, 1e-300), (4, 8.0), (4, 8.0000001)], "g long, v double"))
     probs = [0.0, 0.25, 0.5, 0.75, 1.0, 0.33]
-    got = {r.g: [r[f"q_{i}"] for i in range(len(probs))] for r in exact_quantiles(df, ["g"], "v", probs).collect()}
+    # max_distinct=3 sends the big groups through the bucketed path too
+    got = {r.g: [r[f"q_{i}"] for i in range(len(probs))] for r in exact_quantiles(df, ["g"], "v", probs, max_distinct=3).collect()}
+    got_small = {r.g: [r[f"q_{i}"] for i in range(len(probs))] for r in exact_quantiles(df, ["g"], "v", probs).collect()}
     want = {
         r.g: list(r.q)
         for r in df.groupBy("g").agg(F.percentile("v", probs).alias("q")).collect()
     }
-    assert set(got) == set(want)
+    assert set(got) == set(want) == set(got_small)
     for k in want:
-        for a, b in zip(got[k], want[k]):
+        for a, b, c in zip(got[k], want[k], got_small[k]):
             assert math.isclose(a, b, rel_tol=1e-12, abs_tol=1e-9), (k, a, b)
+            assert math.isclose(c, b, rel_tol=1e-12, abs_tol=1e-9), (k, c, b)
 
 
 def test_global_group(spark):
     df = spark.createDataFrame([(float(x),) for x in [5, 1, 3, 2, 4]], "v double")
-    r = exact_quantiles(df, [], "v", [0.25, 0.5]).first()
-    assert (r.q_0, r.q_1) == (2.0, 3.0)
+    for md in (1, 100):
+        r = exact_quantiles(df, [], "v", [0.25, 0.5], max_distinct=md).first()
+        assert (r.q_0, r.q_1) == (2.0, 3.0)

@@ -1,15 +1,17 @@
 """Exact quantiles (linear interpolation) without one task holding a group.
 
 ``F.percentile`` keeps one count per distinct value of a group in a single
-task. Here:
+task. Here values are first counted per (group, value) - a partial
+aggregate. A group with at most ``max_distinct`` distinct values (the usual
+case for quantised sensor readings) then uses ``percentile`` with the counts
+as frequencies, so its state is bounded by ``max_distinct``. Larger groups:
 
-1. values are counted per (group, value) - a partial aggregate;
-2. each distinct value gets a monotone bucket key (sign and binary exponent,
+1. each distinct value gets a monotone bucket key (sign and binary exponent,
    then the top 20 mantissa bits), and bucket counts get two-level prefix
    sums (per group over exponents, per exponent over mantissa buckets);
-3. the target ranks (two per probability and group: a tiny table, broadcast)
+2. the target ranks (two per probability and group: a tiny table, broadcast)
    find their bucket with a broadcast join on the group plus a range check;
-4. only the few target buckets are ranked value by value.
+3. only the few target buckets are ranked value by value.
 
 The result equals ``percentile`` / ``quantile_cont``: value at rank
 ``p * (n - 1)`` interpolated linearly between its neighbours.
@@ -23,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MANTISSA_BITS = 20
+MAX_DISTINCT = 1 << 20
 
 
 def _bucket_keys(v: Column) -> tuple[Column, Column]:
@@ -43,7 +46,11 @@ def _bucket_keys(v: Column) -> tuple[Column, Column]:
 
 
 def exact_quantiles(
-    df: DataFrame, group_cols: Sequence[str], value_col: str, probs: Sequence[float]
+    df: DataFrame,
+    group_cols: Sequence[str],
+    value_col: str,
+    probs: Sequence[float],
+    max_distinct: int = MAX_DISTINCT,
 ) -> DataFrame:
     """One row per group: ``group_cols`` + ``q_<i>`` for each probability
     (NULL values ignored; a group with no value gives no row)."""
@@ -55,6 +62,27 @@ def exact_quantiles(
         F.col("_v").isNotNull() & ~F.isnan("_v")
     )
     counts = vals.groupBy(*g, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    distinct = counts.groupBy(*g).agg(F.count(F.lit(1)).alias("_d")) if g else counts.agg(
+        F.count(F.lit(1)).alias("_d")
+    )
+    big = distinct.where(F.col("_d") > max_distinct).select(*g)
+    if big.limit(1).count() == 0:  # one small job over the per-group counts
+        return _weighted_percentile(counts, g, probs)
+    if not g:
+        return _bucketed(counts, g, probs)
+    # Groups are few (fleets x sensors): the list of large ones is tiny.
+    big_b = F.broadcast(big)
+    small = _weighted_percentile(counts.join(big_b, g, "left_anti"), g, probs)
+    return small.unionByName(_bucketed(counts.join(big_b, g, "left_semi"), g, probs))
+
+
+def _weighted_percentile(counts: DataFrame, g: list[str], probs: list[float]) -> DataFrame:
+    q = F.percentile(F.col("_v"), probs, F.col("_c")).alias("_q")
+    agg = counts.groupBy(*g).agg(q) if g else counts.agg(q)
+    return agg.select(*g, *[F.col("_q")[i].alias(f"q_{i}") for i in range(len(probs))])
+
+
+def _bucketed(counts: DataFrame, g: list[str], probs: list[float]) -> DataFrame:
     k1, k2 = _bucket_keys(F.col("_v"))
     keyed = counts.select(*g, "_v", "_c", k1.alias("_k1"), k2.alias("_k2"))
     buckets = keyed.groupBy(*g, "_k1", "_k2").agg(F.sum("_c").alias("_bn"))

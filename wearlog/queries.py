@@ -396,8 +396,8 @@ def q_request_rejects(spark, sf_dir):
 def q_request_latest_features(spark, sf_dir):
     from .plans.scoring import request_features
 
-    latest, _, _ = request_features(fixture_requests(spark, sf_dir))
     names = feature_names(REQUEST_SENSORS, (5, 15, 30), (1, 3, 5))
+    latest, _, _ = request_features(fixture_requests(spark, sf_dir), keep=names)
     return latest.select("request_id", "unit_id", "cycle", *[_r(c, 6) for c in names])
 
 
@@ -451,17 +451,17 @@ def q_sequence_regressor_history(spark, sf_dir):
 
 
 def _scoring_model(spark, sf_dir):
-    """Forest trained on the lineitem fleets with the request feature set."""
+    """Forest trained on the lineitem fleets; its own feature list (the
+    sensors that carry signal) is what the scorer aligns requests to."""
     from .operators.features import build_labeled_features
     from .plans.models import forest_pipeline
-    from .schema import kept_sensors
+    from .session import materialize
 
-    fa = _fa(spark, sf_dir)
-    full = fa.select("*", *[F.lit(0.0).alias(f"sensor_{i}") for i in range(6, 22)])
-    sensors = kept_sensors(full)
-    feats = build_labeled_features(full, sensors)
-    names = feature_names(sensors, (5, 15, 30), (1, 3, 5))
-    return forest_pipeline(names, "rul", 42, num_trees=10, max_depth=6).fit(feats)
+    names = feature_names(REQUEST_SENSORS, (5, 15, 30), (1, 3, 5))
+    train = materialize(
+        build_labeled_features(_fa(spark, sf_dir), REQUEST_SENSORS).select("rul", *names), "scoring-train"
+    )
+    return forest_pipeline(names, "rul", 42, num_trees=10, max_depth=6).fit(train)
 
 
 def q_rf_batch_scores(spark, sf_dir):
