@@ -214,8 +214,11 @@ def position(keys: Sequence[str] = KEYS, order_col: str = CYCLE) -> Column:
 
 
 def unit_last(keys: Sequence[str] = KEYS, order_col: str = CYCLE) -> Column:
-    """Last cycle of the row's unit."""
-    return F.coalesce(F.col(PRE_MAX), F.max(order_col).over(Window.partitionBy(*keys, PART)))
+    """Last cycle of the row's unit. Uses the same partitioning and order as
+    the feature windows (full frame), so it shares their Window node and
+    sort instead of adding one."""
+    whole = part_window(keys, order_col).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return F.coalesce(F.col(PRE_MAX), F.max(order_col).over(whole))
 
 
 def own_rows(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
