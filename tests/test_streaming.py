@@ -68,3 +68,15 @@ def test_stream_last_arrival_wins(spark, tmp_path):
         build_rolling_features(dedupe_keep_last(both, "arrival").drop("arrival"), SENSORS)
     )
     _compare(batch, streamed)
+
+
+def test_stream_ignores_cycles_older_than_a_full_buffer(spark, tmp_path):
+    rows = [("FD001", 1, c, float(c), float(c % 3)) for c in range(1, 61)]
+    late = [("FD001", 1, 3, 999.0, 999.0)]  # long evicted from the 30-cycle buffer
+    schema = "dataset_id string, unit_id long, cycle int, sensor_1 double, sensor_2 double"
+    src = str(tmp_path / "in")
+    spark.createDataFrame(rows, schema).write.parquet(os.path.join(src, "a0"))
+    spark.createDataFrame(late, schema).write.parquet(os.path.join(src, "a1"))
+    streamed = _run_stream(spark, src, spark.createDataFrame(rows, schema).schema, tmp_path)
+    batch = latest_row_per_unit(build_rolling_features(spark.createDataFrame(rows, schema), SENSORS))
+    _compare(batch, streamed)
