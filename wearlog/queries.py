@@ -429,25 +429,41 @@ def q_benchmark_summary(spark, sf_dir):
 
 
 def q_rf_feature_importances(spark, sf_dir):
+    """Top-15 features of each fleet's forest."""
     from .plans.benchmark import run_benchmark_on_frame
     from .plans.models import feature_importances, top_importances
 
-    _, art = run_benchmark_on_frame(spark, _fa(spark, sf_dir), _bench_config(), datasets=["FD001"])
-    model = art["models"][("FD001", "random_forest")].model
-    return top_importances(feature_importances(spark, model), 15)
+    _, art = run_benchmark_on_frame(spark, _fa(spark, sf_dir), _bench_config())
+    frames = [
+        top_importances(feature_importances(spark, res.model), 15).withColumn("dataset_id", F.lit(ds))
+        for (ds, kind), res in sorted(art["models"].items())
+        if kind == "random_forest"
+    ]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out.select("dataset_id", "feature", "importance")
 
 
 def q_sequence_regressor_history(spark, sf_dir):
+    """Per-round history of each fleet's sequence model."""
     from .operators.split import apply_split, split_units
     from .plans.models import train_sequence_regressor
+    from .session import materialize
 
-    lab = _labeled(spark, sf_dir).where(F.col("dataset_id") == "FD001")
+    lab = _labeled(spark, sf_dir)
     seq = create_sequence_dataset(lab, ["op_setting_1", "sensor_2", "sensor_3", "sensor_4"], sequence_length=30, stride=5)
-    flagged = apply_split(seq, split_units(lab, 0.2, 42))
-    res = train_sequence_regressor(
-        flagged.where(~F.col("is_validation")), flagged.where(F.col("is_validation")), max_rounds=6, patience=0
-    )
-    return res.history
+    flagged = materialize(apply_split(seq, split_units(lab, 0.2, 42)), "seq-flagged", partition_by=["dataset_id"])
+    fleets = [r.dataset_id for r in flagged.select("dataset_id").distinct().orderBy("dataset_id").collect()]
+    out = None
+    for ds in fleets:
+        part = flagged.where(F.col("dataset_id") == ds)
+        res = train_sequence_regressor(
+            part.where(~F.col("is_validation")), part.where(F.col("is_validation")), max_rounds=6, patience=0
+        )
+        h = res.history.withColumn("dataset_id", F.lit(ds)).withColumn("best_round", F.lit(res.best_round))
+        out = h if out is None else out.unionByName(h)
+    return out
 
 
 def _scoring_model(spark, sf_dir):
@@ -472,15 +488,22 @@ def q_rf_batch_scores(spark, sf_dir):
 
 
 def q_test_set_metrics(spark, sf_dir):
+    """Each fleet's forest scored on the last cycle of its test units."""
     from .plans.benchmark import evaluate_on_test, run_benchmark_on_frame
     from .schema import kept_sensors
 
     cfg = _bench_config()
     fa = _fa(spark, sf_dir)
-    _, art = run_benchmark_on_frame(spark, fa, cfg, datasets=["FD001"])
-    res = art["models"][("FD001", "random_forest")]
-    test = fa.where(F.col("dataset_id") == "FD001")
-    return evaluate_on_test(res.model, test, supplier_truth(spark, sf_dir), res.feature_columns, kept_sensors(fa), cfg)
+    _, art = run_benchmark_on_frame(spark, fa, cfg)
+    truth = supplier_truth(spark, sf_dir)
+    out = None
+    for (ds, kind), res in sorted(art["models"].items()):
+        if kind != "random_forest":
+            continue
+        test = fa.where(F.col("dataset_id") == ds)
+        m = evaluate_on_test(res.model, test, truth, res.feature_columns, kept_sensors(fa), cfg)
+        out = m if out is None else out.unionByName(m)
+    return out
 
 
 def q_stream_scores(spark, sf_dir):
