@@ -114,7 +114,7 @@ def unit_layout(
     order_col: str = CYCLE,
     width: int = DEFAULT_WIDTH,
     strategy: str = "auto",
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Rows of ``df`` plus ``_part``, ``_halo`` and the hot-unit helpers.
 
@@ -125,6 +125,8 @@ def unit_layout(
     ``strategy``: ``auto`` (hybrid, see module doc), ``chunked`` (every unit
     split, dense/general chosen from the index), ``dense`` or ``general``
     (every unit split with that method; for tests and known layouts).
+    ``hot_rows=None`` skips the hot-unit count job: for callers that know
+    every unit is small (one window partition per unit, no check).
     """
     keys = list(keys)
     if halo < 0:
@@ -141,7 +143,6 @@ def unit_layout(
     cols = df.columns
     if strategy != "auto":
         return _chunked(df, halo, keys, order_col, width, strategy)
-    hot = hot_units(df, keys, hot_rows)
     normal = df.select(
         *cols,
         F.lit(0).cast("long").alias(PART),
@@ -149,6 +150,9 @@ def unit_layout(
         F.lit(None).cast("long").alias(PRE_POS),
         F.lit(None).cast(df.schema[order_col].dataType).alias(PRE_MAX),
     )
+    if hot_rows is None:
+        return normal
+    hot = hot_units(df, keys, hot_rows)
     if hot.limit(1).count() == 0:  # one aggregate job; the usual outcome
         return normal
     hot_b = F.broadcast(hot)
