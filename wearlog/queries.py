@@ -218,6 +218,27 @@ def q_metrics_by_split(spark, sf_dir):
     return m.select("dataset_id", "is_validation", _r("rmse", 8), _r("mae", 8), _r("nasa_score", 4))
 
 
+def q_model_comparison(spark, sf_dir):
+    """Two simple predictors compared per fleet; only the second reports a
+    loss, so the union fills the first one's with NULL."""
+    from .plans.sinks import union_results
+
+    pred = _predictions(spark, sf_dir)
+    a = regression_metrics(pred, "rul", "prediction", ["dataset_id"]).withColumn("model", F.lit("quantity_offset"))
+    offsets = _fa(spark, sf_dir).select(*KEYS, "cycle", (F.col("sensor_3") * 100 - 5).alias("_off"))
+    p2 = pred.join(offsets, [*KEYS, "cycle"]).withColumn("prediction", F.col("rul") + F.col("_off"))
+    d = F.col("prediction") - F.col("rul")
+    b = (
+        regression_metrics(p2, "rul", "prediction", ["dataset_id"])
+        .join(p2.groupBy("dataset_id").agg(F.avg(d * d).alias("loss")), "dataset_id")
+        .withColumn("model", F.lit("discount_offset"))
+    )
+    out = union_results([a, b])
+    return out.select(
+        "dataset_id", "model", _r("rmse", 8), _r("mae", 8), _r("nasa_score", 4), _r("loss", 8)
+    ).orderBy("dataset_id", "rmse")
+
+
 def q_metric_bounds(spark, sf_dir):
     b = metric_bounds(_predictions(spark, sf_dir), "rul", "prediction", ["dataset_id"])
     return b.select("dataset_id", _r("lower", 6), _r("upper", 6))
@@ -564,6 +585,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "regression_metrics": q_regression_metrics,
     "metrics_by_split": q_metrics_by_split,
     "metric_bounds": q_metric_bounds,
+    "model_comparison": q_model_comparison,
     "fingerprint": q_fingerprint,
     "latest_row_per_unit": q_latest_row_per_unit,
     "dedupe_keep_last": q_dedupe_keep_last,
@@ -783,6 +805,17 @@ FROM (SELECT dataset_id, {_METRICS} FROM pred GROUP BY dataset_id)"""
 SELECT dataset_id, is_validation, round(rmse, 8) AS rmse, round(mae, 8) AS mae, round(nasa_score, 4) AS nasa_score
 FROM (SELECT p.dataset_id, s.is_validation, {_METRICS}
       FROM pred p JOIN split s USING (dataset_id, unit_id) GROUP BY p.dataset_id, s.is_validation)"""
+    q["model_comparison"] = f"""WITH {_FA}, {_LAB}, {_PRED},
+p2 AS (SELECT p.dataset_id, p.rul, p.rul + (fa.sensor_3 * 100 - 5) AS prediction
+       FROM pred p JOIN fa USING (dataset_id, unit_id, cycle)),
+a AS (SELECT dataset_id, 'quantity_offset' AS model, {_METRICS}, CAST(NULL AS DOUBLE) AS loss
+      FROM pred GROUP BY dataset_id),
+b AS (SELECT dataset_id, 'discount_offset' AS model, {_METRICS},
+             avg((prediction - rul) * (prediction - rul)) AS loss
+      FROM p2 GROUP BY dataset_id)
+SELECT dataset_id, model, round(rmse, 8) AS rmse, round(mae, 8) AS mae, round(nasa_score, 4) AS nasa_score,
+       round(loss, 8) AS loss
+FROM (SELECT * FROM a UNION ALL SELECT * FROM b)"""
     q["metric_bounds"] = f"""WITH {_FA}, {_LAB}, {_PRED}
 SELECT dataset_id, round(least(min(rul), min(prediction)), 6) AS lower,
        round(greatest(max(rul), max(prediction)), 6) AS upper
