@@ -5,7 +5,7 @@ import os
 
 import pytest
 
-from wearlog.sources.cmapss import load_dataset, load_split, read_cycle_files, split_file_name
+from wearlog.sources.cycle_files import load_dataset, load_split, read_cycle_files, split_file_name
 from wearlog.sources.listing import availability, collect_available_datasets
 from wearlog.sources.requests import parse_requests
 

@@ -342,7 +342,7 @@ def fixture_text_files(spark: SparkSession, sf_dir: str) -> str:
 
 
 def q_text_source_cycles(spark, sf_dir):
-    from .sources.cmapss import load_split
+    from .sources.cycle_files import load_split
 
     root = fixture_text_files(spark, sf_dir)
     rows = load_split(spark, root, ["FD001", "FD002", "FD003"], "train", mode="strict")
@@ -350,7 +350,7 @@ def q_text_source_cycles(spark, sf_dir):
 
 
 def q_text_source_truth(spark, sf_dir):
-    from .sources.cmapss import load_split
+    from .sources.cycle_files import load_split
 
     root = fixture_text_files(spark, sf_dir)
     return load_split(spark, root, [1, 2, 3], "rul", mode="strict")

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.ids import normalize_fd_id
-from .cmapss import SPLITS, split_file_name
+from .cycle_files import SPLITS, split_file_name
 
 
 def list_files(spark: SparkSession, directory: str) -> list[str]:
