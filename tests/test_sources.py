@@ -7,7 +7,7 @@ import pytest
 
 from wearlog.sources.cycle_files import load_dataset, load_split, read_cycle_files, split_file_name
 from wearlog.sources.listing import availability, collect_available_datasets
-from wearlog.sources.requests import parse_requests
+from wearlog.sources.requests import parse_requests, read_request_files
 
 def _line(unit, cycle, width=26):
     vals = [str(unit), str(cycle)] + [f"{i}.25" for i in range(width - 2)]
@@ -116,3 +116,14 @@ def test_request_rules(spark):
     bad = {r.request_id: r.detail for r in rejects.collect()}
     assert set(bad) == {"extra", "missing", "cycle0", "empty", "unit0"}
     assert records.where("request_id = 'ok'").count() == 6
+
+
+def test_request_files(spark, tmp_path):
+    good = _sample()
+    (tmp_path / "r1.json").write_text(json.dumps(good, indent=2))
+    bad = dict(good, extra=True)
+    (tmp_path / "r2.json").write_text(json.dumps(bad))
+    records, rejects = parse_requests(read_request_files(spark, str(tmp_path)))
+    assert records.select("request_id").distinct().collect()[0].request_id == "r1.json"
+    assert records.count() == 6
+    assert [r.request_id for r in rejects.collect()] == ["r2.json"]
