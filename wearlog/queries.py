@@ -197,6 +197,24 @@ def q_split_counts(spark, sf_dir):
     )
 
 
+def q_validation_rows(spark, sf_dir):
+    """Rows of the validation units only (semi join on the unit list)."""
+    from .operators.split import rows_of_units
+
+    fa = _fa(spark, sf_dir)
+    units = split_units(fa, 0.2, 42).where("is_validation")
+    return rows_of_units(fa, units).select(*KEYS, "cycle", "sensor_1")
+
+
+def q_null_feature_units(spark, sf_dir):
+    """Reject table of the sequence null guard: units with missing values."""
+    from .operators.sequences import null_feature_units
+
+    return null_feature_units(_with_gaps(_fa(spark, sf_dir)), ["sensor_1", "sensor_2"]).select(
+        *KEYS, F.col("null_rows").cast("long").alias("null_rows")
+    )
+
+
 def _predictions(spark, sf_dir):
     fa = _fa(spark, sf_dir)
     lab = add_rul_targets(fa, cap=125)
@@ -582,6 +600,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "kept_sensors": q_kept_sensors,
     "unit_split": q_unit_split,
     "split_counts": q_split_counts,
+    "validation_rows": q_validation_rows,
+    "null_feature_units": q_null_feature_units,
     "regression_metrics": q_regression_metrics,
     "metrics_by_split": q_metrics_by_split,
     "metric_bounds": q_metric_bounds,
@@ -798,6 +818,13 @@ SELECT dataset_id, unit_id, is_validation FROM split"""
 SELECT fa.dataset_id, s.is_validation, CAST(count(DISTINCT fa.unit_id) AS BIGINT) AS units,
        CAST(count(*) AS BIGINT) AS rows
 FROM fa JOIN split s USING (dataset_id, unit_id) GROUP BY fa.dataset_id, s.is_validation"""
+    q["validation_rows"] = f"""WITH {_FA}, {_SPLIT.format(src='fa')}
+SELECT dataset_id, unit_id, cycle, sensor_1 FROM fa
+WHERE EXISTS (SELECT 1 FROM split s WHERE s.is_validation AND s.dataset_id = fa.dataset_id AND s.unit_id = fa.unit_id)"""
+    q["null_feature_units"] = f"""WITH {_FA}
+SELECT dataset_id, unit_id, CAST(count(*) AS BIGINT) AS null_rows FROM fa
+WHERE cycle % 17 = 0 OR sensor_2 IS NULL OR isnan(sensor_2)
+GROUP BY dataset_id, unit_id"""
     q["regression_metrics"] = f"""WITH {_FA}, {_LAB}, {_PRED}
 SELECT dataset_id, round(rmse, 8) AS rmse, round(mae, 8) AS mae, round(nasa_score, 4) AS nasa_score
 FROM (SELECT dataset_id, {_METRICS} FROM pred GROUP BY dataset_id)"""
