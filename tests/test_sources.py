@@ -7,7 +7,7 @@ import pytest
 
 from wearlog.sources.cycle_files import load_dataset, load_split, read_cycle_files, split_file_name
 from wearlog.sources.listing import availability, collect_available_datasets
-from wearlog.sources.requests import parse_requests, read_request_files
+from wearlog.sources.requests import parse_requests, read_request_files, requests_from_cycles
 
 def _line(unit, cycle, width=26):
     vals = [str(unit), str(cycle)] + [f"{i}.25" for i in range(width - 2)]
@@ -127,3 +127,16 @@ def test_request_files(spark, tmp_path):
     assert records.select("request_id").distinct().collect()[0].request_id == "r1.json"
     assert records.count() == 6
     assert [r.request_id for r in rejects.collect()] == ["r2.json"]
+
+
+def test_requests_from_cycles_round_trip(spark):
+    cycles = spark.createDataFrame(
+        [("FD001", u, c, 0.0, 0.0, 0.0, float(c), float(u)) for u in (1, 2) for c in range(1, 91)],
+        "dataset_id string, unit_id long, cycle int, op_setting_1 double, op_setting_2 double, "
+        "op_setting_3 double, sensor_1 double, sensor_2 double",
+    )
+    bodies = requests_from_cycles(cycles, records_per_request=40)
+    assert bodies.count() == 6  # 90 cycles -> 40 + 40 + 10 per unit
+    records, rejects = parse_requests(bodies)
+    assert rejects.count() == 0 and records.count() == 180
+    assert records.where("sensor_1 != cycle OR sensor_21 != 0.0").count() == 0

@@ -8,7 +8,6 @@ readers skip empty files, so they cannot be used to list.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
