@@ -82,3 +82,12 @@ def test_layout_rejects_bad_arguments(cycles):
         unit_layout(cycles, halo=-1)
     with pytest.raises(ValueError):
         unit_layout(cycles, halo=10, width=10)
+
+
+def test_sequences_with_gaps_hot_general_match_plain(cycles):
+    gappy = cycles.where(F.col("cycle") % 6 != 1).withColumn("rul", F.col("cycle"))
+    plain = create_sequence_dataset(gappy, ["sensor_1"], sequence_length=7, stride=3)
+    hot = create_sequence_dataset(gappy, ["sensor_1"], sequence_length=7, stride=3, width=16, hot_rows=20)
+    a = sorted((r.dataset_id, r.unit_id, r.cycle, str(r.x)) for r in plain.collect())
+    b = sorted((r.dataset_id, r.unit_id, r.cycle, str(r.x)) for r in hot.collect())
+    assert a == b and len(a) > 0
