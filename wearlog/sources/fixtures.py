@@ -117,5 +117,7 @@ def cached_frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     key = (id(spark._jsparkSession), os.path.abspath(sf_dir), name)
     if key not in _MATERIALIZED:
         builders = {"lineitem": lineitem_cycles, "events": events_cycles}
-        _MATERIALIZED[key] = materialize(builders[name](spark, sf_dir), f"fixture-{name}")
+        _MATERIALIZED[key] = materialize(
+            builders[name](spark, sf_dir), f"fixture-{name}", partition_by=["dataset_id"]
+        )
     return _MATERIALIZED[key]
