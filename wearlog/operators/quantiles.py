@@ -70,7 +70,7 @@ def exact_quantiles(
         return _weighted_percentile(counts, g, probs)
     if not g:
         return _bucketed(counts, g, probs)
-    # Groups are few (fleets x sensors): the list of large ones is tiny.
+    # At most distinct values / max_distinct groups are large: a bounded list.
     big_b = F.broadcast(big)
     small = _weighted_percentile(counts.join(big_b, g, "left_anti"), g, probs)
     return small.unionByName(_bucketed(counts.join(big_b, g, "left_semi"), g, probs))
@@ -116,7 +116,8 @@ def _bucketed(counts: DataFrame, g: list[str], probs: list[float]) -> DataFrame:
     ).withColumn(
         "_rank", F.when(F.col("_side") == 0, F.floor("_pos")).otherwise(F.ceil("_pos")).cast("long")
     )
-    # Groups are few (fleets x sensors): the target table is tiny.
+    # Only groups with more than max_distinct distinct values get here, so
+    # the target table has at most 2 * len(probs) * distinct / max_distinct rows.
     tb = F.broadcast(targets)
     cond = [spans[c] == tb[c] for c in g] + [
         tb["_rank"] >= spans["_start"],
