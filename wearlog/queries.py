@@ -113,6 +113,17 @@ def q_events_rolling_features(spark, sf_dir):
     return feats.select(*KEYS, "cycle", *[_r(c, 6) for c in names])
 
 
+def q_events_rul_labels(spark, sf_dir):
+    lab = add_rul_targets(_fb(spark, sf_dir), cap=60)
+    return lab.select(*KEYS, "cycle", "rul_raw", "rul")
+
+
+def q_events_sequence_stride(spark, sf_dir):
+    lab = add_rul_targets(_fb(spark, sf_dir), cap=60)
+    seq = create_sequence_dataset(lab, ["sensor_1", "sensor_2"], sequence_length=10, stride=3)
+    return seq.select(*KEYS, "cycle", "rul", F.size("x").cast("int").alias("steps"))
+
+
 def _labeled(spark, sf_dir):
     return add_rul_targets(_fa(spark, sf_dir), cap=125)
 
@@ -591,6 +602,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lag_features": q_lag_features,
     "rolling_features_wide": q_rolling_features_wide,
     "events_rolling_features": q_events_rolling_features,
+    "events_rul_labels": q_events_rul_labels,
+    "events_sequence_stride": q_events_sequence_stride,
     "sequence_index": q_sequence_index,
     "sequence_stride": q_sequence_stride,
     "sequence_windows_checksum": q_sequence_windows_checksum,
@@ -786,6 +799,14 @@ f AS (SELECT dataset_id, unit_id, cycle,
   {_feature_select(["sensor_1", "sensor_2"], (5, 10), (1, 2))}
   FROM fb)
 SELECT * FROM f WHERE {_not_null(ev_names)}"""
+    q["events_rul_labels"] = f"""WITH {_FB},
+lab AS (SELECT *, CAST(max(cycle) OVER (PARTITION BY dataset_id, unit_id) - cycle AS INTEGER) AS rul_raw FROM fb)
+SELECT dataset_id, unit_id, cycle, rul_raw, CAST(least(rul_raw, 60) AS INTEGER) AS rul FROM lab"""
+    q["events_sequence_stride"] = f"""WITH {_FB},
+r AS (SELECT *, max(cycle) OVER (PARTITION BY dataset_id, unit_id) - cycle AS rul_raw,
+             row_number() OVER ({_W}) AS rn FROM fb)
+SELECT dataset_id, unit_id, cycle, CAST(least(rul_raw, 60) AS FLOAT) AS rul, CAST(10 AS INTEGER) AS steps
+FROM r WHERE rn >= 10 AND (rn - 10) % 3 = 0"""
     q["sequence_index"] = f"""WITH {_FA}, {_LAB},
 r AS (SELECT *, row_number() OVER ({_W}) AS rn FROM lab)
 SELECT dataset_id, unit_id, cycle, CAST(least(rul_raw, 125) AS FLOAT) AS rul FROM r WHERE rn >= 30"""
