@@ -93,8 +93,10 @@ def events_cycles(spark: SparkSession, sf_dir: str) -> DataFrame:
 def supplier_truth(spark: SparkSession, sf_dir: str, drop_every: int | None = None) -> DataFrame:
     """Truth table for the lineitem fleets (fixture F-T).
 
-    ``drop_every=7`` leaves out suppliers with ``s_suppkey % 7 = 0`` (the
-    missing-truth case).
+    ``drop_every=7`` removes truth rows of suppliers with
+    ``s_suppkey % 7 = 0``: it defines the missing-truth scenario (those units
+    must be reported). It never thins the cycle data: every lineitem row is
+    still processed by the queries that use it.
     """
     sup = table(spark, sf_dir, "supplier").select("s_suppkey")
     if drop_every:
