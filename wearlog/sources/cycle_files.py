@@ -101,7 +101,13 @@ def read_cycle_files(
     if mode not in ("strict", "reject"):
         raise ValueError("mode must be 'strict' or 'reject'")
     parsed = parse_cycle_lines(_lines(spark, paths))
-    # A file whose widest line is narrower than 26 columns has the wrong shape.
+    if mode == "strict":
+        # One aggregate pass (a row per file) decides every error; the data
+        # is then read once more, with no per-file join.
+        _raise_on_file_problems(parsed, paths, N_COLUMNS)
+        return parsed.select("dataset_id", *CYCLE_FILE_COLUMNS)
+    # A file whose widest line is narrower than 26 columns has the wrong
+    # shape. One row per listed file: a bounded broadcast.
     widths = parsed.groupBy("file_name").agg(F.max("_width").alias("_file_width"))
     checked = parsed.join(F.broadcast(widths), "file_name").withColumn(
         "_problem",
@@ -114,23 +120,28 @@ def read_cycle_files(
     rejects = checked.where(F.col("_problem").isNotNull()).select(
         "dataset_id", "file_name", "line", F.col("_problem").alias("problem")
     )
-    if mode == "reject":
-        return rows, rejects
-    first = rejects.limit(1).collect()
-    if first:
-        r = first[0]
-        raise ValueError(f"Unexpected content in {r['file_name']}: {r['problem']} ({r['line'][:80]!r})")
-    _require_nonempty(parsed, paths)
-    return rows
-
-
-def _require_nonempty(parsed: DataFrame, paths: list[str]) -> None:
-    """A file without any data line is an error (one row per file read)."""
-    seen = {r["file_name"] for r in parsed.select("file_name").distinct().collect()}
-    seen |= {s.rstrip("/") for s in seen}
-    empty = [p for p in paths if os.path.basename(p) not in seen]
+    return rows, rejects
+
+
+def _raise_on_file_problems(parsed: DataFrame, paths: list[str], min_width: int | None) -> None:
+    """Per-file line count, widest line and first problem, in one job."""
+    first = F.first(
+        F.when(F.col("_problem").isNotNull(), F.struct("line", "_problem")), ignorenulls=True
+    )
+    stats = {
+        r["file_name"]: r
+        for r in parsed.groupBy("file_name")
+        .agg(F.max("_width").alias("w"), first.alias("p"))
+        .collect()
+    }
+    empty = [p for p in paths if os.path.basename(p.rstrip("/")) not in stats]
     if empty:
         raise ValueError(f"No data lines in: {empty}")
+    for name, r in sorted(stats.items()):
+        if r["p"] is not None:
+            raise ValueError(f"Unexpected content in {name}: {r['p']['_problem']} ({r['p']['line'][:80]!r})")
+        if min_width is not None and r["w"] < min_width:
+            raise ValueError(f"Unexpected content in {name}: wrong column count ({r['w']})")
 
 
 def read_truth_files(spark: SparkSession, paths: list[str], mode: str = "strict") -> DataFrame:
@@ -157,22 +168,21 @@ def read_truth_files(spark: SparkSession, paths: list[str], mode: str = "strict"
     ranked = in_block.join(offsets, block)
     tokens = F.split(F.col("line"), r"\s+")
     value = F.get(tokens, 0).try_cast("double")
+    problem = (
+        F.when(F.size(tokens) != 1, F.lit("expected 1 column"))
+        .when(value.isNull(), F.lit("non-numeric value"))
+    )
+    if mode == "strict":
+        checks = lines.select("file_name", "line", F.lit(1).alias("_width"), problem.alias("_problem"))
+        _raise_on_file_problems(checks, paths, None)
     out = ranked.select(
         "dataset_id",
         "file_name",
         "line",
         (F.col("_off") + F.col("_k")).cast("long").alias("unit_id"),
         value.alias("_v"),
-        F.when(F.size(tokens) != 1, F.lit("expected 1 column"))
-        .when(value.isNull(), F.lit("non-numeric value"))
-        .alias("_problem"),
+        problem.alias("_problem"),
     )
-    if mode == "strict":
-        first = out.where(F.col("_problem").isNotNull()).limit(1).collect()
-        if first:
-            r = first[0]
-            raise ValueError(f"Unexpected content in {r['file_name']}: {r['_problem']}")
-        _require_nonempty(lines, paths)
     return out.where(F.col("_problem").isNull()).select(
         "dataset_id", "unit_id", F.col("_v").cast("int").alias("final_rul")
     )
