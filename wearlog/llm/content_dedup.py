@@ -1,6 +1,7 @@
 """Exact dedup by content sort.
 
-Sampled splitters range-partition the normalised texts, each partition is
+Sampled splitters (a text's first characters and a hash of all of it, so that a
+sample stays small) range-partition the normalised texts, each partition is
 sorted (spilling to disk as needed), equal texts become neighbours, and full
 comparisons of neighbours form the groups; the smallest id of a group stays.
 
@@ -22,6 +23,7 @@ from wearlog.session import materialize
 
 HOT_SHARE = 4096
 RUNS = 64
+LEAD = 24
 
 
 def normalised(text: Column) -> Column:
@@ -36,9 +38,11 @@ def content_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     least = docs.count() / HOT_SHARE
     hot = [r.h for r in sums.where((F.col("n") > least) & (F.col("n") > 1)).select("h").collect()]
     run = F.when(F.xxhash64("norm").isin(hot), F.pmod(F.xxhash64("doc_id"), F.lit(RUNS)).cast("int")).otherwise(-1)
-    # the window needs no further exchange: equal (norm, run) are in one range, sorted
-    sorted_runs = base.withColumn("run", run).repartitionByRange("norm", "run")
-    near = Window.partitionBy("norm", "run").orderBy(F.col("doc_id").asc_nulls_last())
+    # splitters are of bounded size: the first characters, then a hash of the whole text; equal texts
+    # share a range, so the window needs no further exchange, and it compares the texts in full
+    keyed = base.withColumns({"lead": F.substring("norm", 1, LEAD), "h": F.xxhash64("norm"), "run": run})
+    sorted_runs = keyed.repartitionByRange("lead", "h", "run")
+    near = Window.partitionBy("lead", "h", "run", "norm").orderBy(F.col("doc_id").asc_nulls_last())
     whole = near.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     rows = materialize(
         sorted_runs.select(
