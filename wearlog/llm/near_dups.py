@@ -44,6 +44,8 @@ SKETCH = 64
 INDEXED = 32
 LIST = 64
 CENTRES = 4
+#: Bits of the map of ids whose full sets are wanted (half a megabyte at any size of input).
+MAP_BITS = 1 << 22
 #: Sets under six shingles reach 85 % only when equal.
 LEAST = 6
 ESTIMATE = 0.85 - 4.5 * (0.85 * 0.15 / SKETCH) ** 0.5
@@ -164,6 +166,29 @@ def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return rows.where(F.col("shared") * UNITED >= (F.col("na") + F.col("nb") - F.col("shared")) * SHARED).select("a", "b").distinct()
 
 
+def _wanted_sets(slim: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Full sets (id, n, vals) of the documents in pairs, and of few others.
+
+    A bit map of hashed ids says whose texts a second scan turns into sets, so no
+    text is shuffled; the joins with the pairs drop the others. On very large
+    inputs the map fills up and more sets are written, which changes no result.
+    """
+    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(MAP_BITS))
+    slots = pairs.select(F.explode(F.array("a", "b")).alias("id")).select(slot("id").alias("slot"))
+    words = slots.groupBy(F.shiftright("slot", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 AS int))")).alias("bits")).collect()
+    marks = np.zeros(MAP_BITS // 64, np.int64)
+    for r in words:
+        marks[r.word] = r.bits
+
+    def chosen(batches):
+        for batch in batches:
+            at = batch.column(2).to_numpy()
+            yield batch.filter(pa.array((marks[at >> 6] >> (at & 63)) & 1 == 1))
+
+    scan = slim.where("doc_id IS NOT NULL").select("doc_id", "text", slot("doc_id").alias("slot"))
+    return scan.mapInArrow(lambda b: _sets(chosen(b), None), SET_ROWS).select(F.col("doc_id").alias("id"), "n", "vals")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_shingles, class_id (least id with an equal set), component_id, kept."""
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -173,10 +198,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
     classes = materialize(classes, "near-classes")
     pairs = materialize(estimated(candidates(classes), classes), "near-pairs")
-    need = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = slim.join(need, "doc_id", "left_semi")
-    sets = texts.mapInArrow(lambda b: _sets(b, None), SET_ROWS).select(F.col("doc_id").alias("id"), "n", "vals")
-    sets = materialize(sets, "near-sets")
+    sets = materialize(_wanted_sets(slim, pairs), "near-sets")
     best = pairs.groupBy("b").agg(F.max_by("a", F.struct("estimate", -F.col("a"))).alias("a")).select("a", "b")
     links = materialize(_linked(best, sets), "near-links")
     first = materialize(components(links), "near-components")
