@@ -11,8 +11,9 @@ never does: only classes of whose values at least half are in such lists (others
 share a value of a short list with any partner) go on, with keys of three
 successive long-list values, then of six where a key's list is still too long.
 In a list too long even then (thousands of copies of one document, lightly
-edited) every class is paired with the most typical members instead, those whose
-values are in the longest lists; links to them join such a group.
+edited) no pairs are made among members: each class meets, in the longest eight
+of its lists, the most typical members, those whose values are in the longest
+lists; links to them join such a group.
 
 A pair goes on if the similarity estimated from the least 64 values of both
 sketches together is at most 4.5 standard errors too low. Exact counts come
@@ -44,6 +45,8 @@ SKETCH = 64
 INDEXED = 32
 LIST = 64
 CENTRES = 4
+#: Of each class's long lists, so many of the longest pair it with their typical members.
+LONGEST = 8
 #: Bits of the map of ids whose full sets are wanted (half a megabyte at any size of input).
 MAP_BITS = 1 << 22
 #: Sets under six shingles reach 85 % only when equal.
@@ -139,7 +142,9 @@ def candidates(classes: DataFrame) -> DataFrame:
     for lists in (long3, sixes.where(f"df > {LIST}")):
         place = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("weight"), "id"))
         centres = lists.select("key", "id", "n", "weight").withColumn("place", place).where(f"place <= {CENTRES}")
-        found.append(_pairs(centres, lists, "key"))
+        own = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("df"), "key"))
+        longest = lists.select("key", "id", "n", "df").withColumn("own", own).where(f"own <= {LONGEST}")
+        found.append(_pairs(centres, longest, "key"))
     pairs = found[0]
     for f in found[1:]:
         pairs = pairs.unionByName(f)
