@@ -34,6 +34,8 @@ GRAMS = 512
 BITS = 16
 DIM = 16
 EPOCHS = 6
+#: Small samples are gone over more often, until so many updates are made.
+UPDATES = 1200
 BATCH = 32
 RATE = 2.0
 ACCURACY = 0.99
@@ -84,8 +86,10 @@ def fit(grams: list[np.ndarray], labels: np.ndarray, n_langs: int, seed: int = 7
     """Stochastic gradient descent; returns embeddings, softmax weights, bias."""
     rng = np.random.default_rng(seed)
     emb, soft, bias = rng.normal(0, 0.1, (1 << BITS, DIM)), rng.normal(0, 0.1, (DIM, n_langs)), np.zeros(n_langs)
-    steps, step = EPOCHS * -(-len(grams) // BATCH), 0
-    for _ in range(EPOCHS):
+    turn = -(-len(grams) // BATCH)
+    epochs = max(EPOCHS, -(-UPDATES // turn))
+    steps, step = epochs * turn, 0
+    for _ in range(epochs):
         order = rng.permutation(len(grams))
         for a in range(0, len(order), BATCH):
             pick = order[a : a + BATCH]
