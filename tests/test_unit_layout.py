@@ -91,3 +91,23 @@ def test_sequences_with_gaps_hot_general_match_plain(cycles):
     a = sorted((r.dataset_id, r.unit_id, r.cycle, str(r.x)) for r in plain.collect())
     b = sorted((r.dataset_id, r.unit_id, r.cycle, str(r.x)) for r in hot.collect())
     assert a == b and len(a) > 0
+
+
+def test_repeated_cycles_with_a_matching_row_count_are_split_right(spark):
+    """Cycles 1,1,3..8 have as many rows as a gap-free unit; positions must still count rows."""
+    from wearlog.operators.features import build_rolling_features
+
+    cycles = [1, 1, 3, 4, 5, 6, 7, 8]
+    df = spark.createDataFrame([("FD001", 1, c, float(c)) for c in cycles], "dataset_id string, unit_id long, cycle int, sensor_1 double")
+    args = dict(sensor_columns_=["sensor_1"], windows=(3,), lags=(2,), drop_na=False)
+    plain = sorted(map(tuple, build_rolling_features(df, **args).collect()), key=str)
+    split = sorted(map(tuple, build_rolling_features(df, width=4, hot_rows=2, **args).collect()), key=str)
+    assert plain == split
+
+
+def test_nan_is_missing(spark):
+    from wearlog.operators.features import build_rolling_features
+
+    df = spark.createDataFrame([("FD001", 1, c, v) for c, v in enumerate([1.0, float("nan"), 3.0, 4.0], 1)], "dataset_id string, unit_id long, cycle int, sensor_1 double")
+    rows = build_rolling_features(df, sensor_columns_=["sensor_1"], windows=(3,), lags=(1,), drop_na=False).orderBy("cycle").collect()
+    assert [r.sensor_1_roll_mean_w3 for r in rows] == [1.0, 1.0, 2.0, 3.5] and [r.sensor_1_lag_1 for r in rows] == [None, 1.0, None, 3.0]

@@ -78,6 +78,8 @@ def bucket_index(
         F.count(F.lit(1)).alias(_BUCKET_ROWS),
         F.min(order_col).alias("_lo"),
         F.max(order_col).alias("_hi"),
+        # at most `width` values, so the set stays small however hot the bucket
+        F.size(F.collect_set(order_col)).alias("_values"),
     )
     unit = Window.partitionBy(*keys)
     before = unit.orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
@@ -89,7 +91,12 @@ def bucket_index(
         F.sum(_BUCKET_ROWS).over(unit).alias(UNIT_ROWS),
         F.min("_lo").over(unit).alias(UNIT_MIN),
         F.max("_hi").over(unit).alias(UNIT_MAX),
-    ).withColumn(_DENSE, F.col(UNIT_ROWS) == F.col(UNIT_MAX) - F.col(UNIT_MIN) + 1)
+        # cycle arithmetic gives positions only where cycles have neither gaps nor repeats
+        (
+            (F.sum(_BUCKET_ROWS).over(unit) == F.max("_hi").over(unit) - F.min("_lo").over(unit) + 1)
+            & (F.sum(_BUCKET_ROWS).over(unit) == F.sum("_values").over(unit))
+        ).alias(_DENSE),
+    )
 
 
 def all_units_dense(index: DataFrame) -> bool:

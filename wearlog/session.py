@@ -46,10 +46,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the folder is set by the deployment and is only read here.
-    When it is unset (local runs and tests) a private scratch folder is used.
+    When it is unset a private scratch folder is used on a local master; on any
+    other the executors could not see it, and that is an error.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         current = tempfile.mkdtemp(prefix="wearlog-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)

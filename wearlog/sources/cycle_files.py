@@ -74,13 +74,14 @@ def parse_cycle_lines(lines: DataFrame) -> DataFrame:
         F.when(F.size("_tok") > N_COLUMNS, F.lit("too many columns"))
         .when(bad_token, F.lit("non-numeric value"))
         .when(unit.isNull() | cycle.isNull(), F.lit("missing unit or cycle"))
+        .when(unit.try_cast("long").isNull() | cycle.try_cast("int").isNull(), F.lit("unit or cycle out of range"))
         .when((unit != F.floor(unit)) | (cycle != F.floor(cycle)), F.lit("non-integer unit or cycle"))
     )
     return with_tok.select(
         "dataset_id",
         "file_name",
-        unit.cast("long").alias("unit_id"),
-        cycle.cast("int").alias("cycle"),
+        unit.try_cast("long").alias("unit_id"),
+        cycle.try_cast("int").alias("cycle"),
         *[_nan_to_null(nums[2 + i]).alias(c) for i, c in enumerate(OP_SETTING_COLUMNS)],
         *[_nan_to_null(nums[5 + i]).alias(c) for i, c in enumerate(SENSOR_COLUMNS)],
         F.size("_tok").alias("_width"),
