@@ -170,6 +170,8 @@ def quality(docs: DataFrame) -> DataFrame:
                 took = [grams[a + (np.arange(min(k, GRAMS)) * k) // max(1, min(k, GRAMS))].astype(np.int32) for a, k in zip(at.tolist(), sizes.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, end - first), pa.array(took, pa.list_(pa.int32()))], names=["doc_id", "grams"])
 
+    # at most 2 * SAMPLE short rows: bounded, so the texts need not be shuffled to meet them
+    pool = F.broadcast(materialize(pool.select("doc_id", "votes"), "weak-sample"))
     texts = slim.join(pool.select("doc_id"), "doc_id", "left_semi").mapInArrow(sample, "doc_id long, grams array<int>")
     rows = sorted((r.doc_id, r.votes, r.grams) for r in texts.join(pool.select("doc_id", "votes"), "doc_id").collect())
     w, bias = fit([(v, np.array(g, np.int64), posterior[v]) for _, v, g in rows])
