@@ -140,3 +140,17 @@ def test_requests_from_cycles_round_trip(spark):
     records, rejects = parse_requests(bodies)
     assert rejects.count() == 0 and records.count() == 180
     assert records.where("sensor_1 != cycle OR sensor_21 != 0.0").count() == 0
+
+
+def test_truth_rejects_keep_the_other_units_in_place(spark, tmp_path):
+    from wearlog.sources.cycle_files import load_split
+
+    (tmp_path / "RUL_FD002.txt").write_text("10\nabc\n\n30 4\n1e30\nNaN\n50\n")
+    rows, rejects = load_split(spark, str(tmp_path), [2], "rul", mode="reject")
+    assert {(r.unit_id, r.final_rul) for r in rows.collect()} == {(1, 10), (6, 50)}
+    assert {(r.unit_id, r.line, r.problem) for r in rejects.collect()} == {
+        (2, "abc", "non-numeric value"), (3, "30 4", "expected 1 column"),
+        (4, "1e30", "value out of range"), (5, "NaN", "value out of range"),
+    }
+    with pytest.raises(ValueError, match="RUL_FD002"):
+        load_split(spark, str(tmp_path), [2], "rul")

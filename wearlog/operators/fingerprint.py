@@ -1,7 +1,8 @@
 """Order-insensitive content fingerprint of a table (for run tracking).
 
 Each row is digested to a 60-bit integer (first 15 hex digits of the md5 of
-its text form); the table digest combines the exact sum, the xor and the row
+its text form, in which every value follows its length, so neither a separator
+inside a value nor the text of the NULL marker can be mistaken); the table digest combines the exact sum, the xor and the row
 count with SHA-256. Equal tables give equal fingerprints whatever the
 partitioning; any changed value or added / removed row changes it. It is one
 aggregate with map-side partial sums.
@@ -20,7 +21,8 @@ NULL_MARKER = "\\N"
 
 
 def row_digest(columns: Sequence[str]) -> Column:
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit(NULL_MARKER)) for c in columns]
+    texts = [F.col(c).cast("string") for c in columns]
+    parts = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit(NULL_MARKER)) for t in texts]
     return F.conv(F.substring(F.md5(F.concat_ws("|", *parts)), 1, 15), 16, 10).cast("long")
 
 

@@ -18,7 +18,7 @@ from .functions.ids import dataset_ids_col, fd_id_col
 from .operators.features import build_labeled_features, build_rolling_features, feature_names
 from .operators.fingerprint import dataframe_fingerprint
 from .operators.labels import add_rul_targets, add_test_rul_targets, missing_truth_units
-from .operators.latest import dedupe_keep_last, latest_row_per_unit
+from .operators.latest import dedupe_keep_last, latest_row_per_unit, unit_trajectory
 from .operators.metrics import metric_bounds, regression_metrics
 from .operators.sensors import (
     compute_sensor_summary,
@@ -50,6 +50,11 @@ def _r(c: str, n: int) -> F.Column:
     return F.round(F.col(c), n).alias(c)
 
 
+def _r_by_size(c: str) -> F.Column:
+    """8 places, or 2 for the prices' large moments (doubles have no more digits)."""
+    return F.when(F.abs(F.col(c)) < 1000, F.round(F.col(c), 8)).otherwise(F.round(F.col(c), 2)).alias(c)
+
+
 def q_rul_labels(spark, sf_dir):
     lab = add_rul_targets(_fa(spark, sf_dir), cap=125)
     return lab.select(*KEYS, "cycle", "rul_raw", "rul")
@@ -164,7 +169,7 @@ def q_sequence_windows_checksum(spark, sf_dir):
     )
 
 
-SUMMARY_SENSORS = ["sensor_1", "sensor_3", "sensor_4", "sensor_5"]
+SUMMARY_SENSORS = ["sensor_1", "sensor_2", "sensor_3", "sensor_4", "sensor_5"]
 SUMMARY_COLS = [
     "global_mean",
     "global_std",
@@ -178,7 +183,7 @@ SUMMARY_COLS = [
 
 def q_sensor_summary(spark, sf_dir):
     s = compute_sensor_summary(_fa(spark, sf_dir), SUMMARY_SENSORS)
-    return s.select("dataset_id", "sensor", *[_r(c, 8) for c in SUMMARY_COLS])
+    return s.select("dataset_id", "sensor", *[_r_by_size(c) for c in SUMMARY_COLS])
 
 
 def q_low_variance_sensors(spark, sf_dir):
@@ -298,9 +303,8 @@ def q_dedupe_keep_last(spark, sf_dir):
 
 def q_unit_trajectory(spark, sf_dir):
     fa = _fa(spark, sf_dir)
-    first = fa.where(F.col("dataset_id") == "FD001").agg(F.min("unit_id").alias("u"))
-    one = fa.join(F.broadcast(first), fa.unit_id == first.u).where(F.col("dataset_id") == "FD001")
-    return one.select("cycle", "sensor_1", "sensor_2", "sensor_3", "sensor_4")
+    first = fa.where("dataset_id = 'FD001'").agg(F.min("unit_id")).first()[0]
+    return unit_trajectory(fa, {"dataset_id": "FD001", "unit_id": first}, SENSORS4)
 
 
 def q_normalize_ids(spark, sf_dir):
@@ -341,7 +345,7 @@ def fixture_text_files(spark: SparkSession, sf_dir: str) -> str:
 
     from .session import scratch_path
 
-    key = (id(spark._jsparkSession), os.path.abspath(sf_dir))
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
     if key in _WRITTEN:
         return _WRITTEN[key]
     import uuid
@@ -728,8 +732,8 @@ _METRICS = """sqrt(avg((prediction - rul) * (prediction - rul))) AS rmse,
            ELSE exp((prediction - rul) / 10.0) - 1 END) AS nasa_score"""
 
 _SUMMARY_LONG = """long AS (
-  UNPIVOT (SELECT dataset_id, unit_id, sensor_1, sensor_3, sensor_4, sensor_5 FROM fa)
-  ON sensor_1, sensor_3, sensor_4, sensor_5 INTO NAME sensor VALUE value),
+  UNPIVOT (SELECT dataset_id, unit_id, sensor_1, sensor_2, sensor_3, sensor_4, sensor_5 FROM fa)
+  ON sensor_1, sensor_2, sensor_3, sensor_4, sensor_5 INTO NAME sensor VALUE value),
 gstats AS (
   SELECT dataset_id, sensor, avg(value) AS global_mean, stddev_pop(value) AS global_std,
          var_pop(value) AS global_var,
@@ -821,7 +825,7 @@ s AS (SELECT dataset_id, unit_id, cycle, rn,
 SELECT dataset_id, unit_id, cycle, CAST(30 AS INTEGER) AS steps, round(s1 - (rn - 30) * s0, 4) AS checksum
 FROM s WHERE rn >= 30"""
     q["sensor_summary"] = f"""WITH {_FA}, {_SUMMARY_LONG}
-SELECT dataset_id, sensor, {", ".join(f"round({c}, 8) AS {c}" for c in SUMMARY_COLS)} FROM summary"""
+SELECT dataset_id, sensor, {", ".join(f"CASE WHEN abs({c}) < 1000 THEN round({c}, 8) ELSE round({c}, 2) END AS {c}" for c in SUMMARY_COLS)} FROM summary"""
     q["low_variance_sensors"] = f"""WITH {_FA}, {_SUMMARY_LONG}
 SELECT dataset_id, sensor FROM summary WHERE mean_unit_std <= 0.05"""
     q["sensor_intersection"] = f"""WITH {_FA}, {_SUMMARY_LONG}
@@ -868,10 +872,10 @@ FROM (SELECT * FROM a UNION ALL SELECT * FROM b)"""
 SELECT dataset_id, round(least(min(rul), min(prediction)), 6) AS lower,
        round(greatest(max(rul), max(prediction)), 6) AS upper
 FROM pred GROUP BY dataset_id"""
+    values = ["dataset_id", "CAST(unit_id AS VARCHAR)", "CAST(cycle AS VARCHAR)", "CAST(least(rul_raw, 125) AS VARCHAR)"]
+    digest_parts = ", ".join(f"coalesce(length({v}) || ':' || {v}, '\\N')" for v in values)
     q["fingerprint"] = f"""WITH {_FA}, {_LAB},
-d AS (SELECT CAST(('0x' || substr(md5(concat_ws('|', coalesce(dataset_id, '\\N'),
-          coalesce(CAST(unit_id AS VARCHAR), '\\N'), coalesce(CAST(cycle AS VARCHAR), '\\N'),
-          coalesce(CAST(least(rul_raw, 125) AS VARCHAR), '\\N'))), 1, 15)) AS BIGINT) AS h FROM lab),
+d AS (SELECT CAST(('0x' || substr(md5(concat_ws('|', {digest_parts})), 1, 15)) AS BIGINT) AS h FROM lab),
 a AS (SELECT count(*) AS rows, CAST(sum(CAST(h AS HUGEINT)) AS VARCHAR) AS digest_sum, bit_xor(h) AS digest_xor FROM d)
 SELECT rows, digest_sum, digest_xor,
        sha256(concat_ws(':', digest_sum, CAST(digest_xor AS VARCHAR), CAST(rows AS VARCHAR))) AS fingerprint

@@ -145,9 +145,12 @@ def _raise_on_file_problems(parsed: DataFrame, paths: list[str], min_width: int
             raise ValueError(f"Unexpected content in {name}: wrong column count ({r['w']})")
 
 
-def read_truth_files(spark: SparkSession, paths: list[str], mode: str = "strict") -> DataFrame:
+def read_truth_files(
+    spark: SparkSession, paths: list[str], mode: str = "strict"
+) -> DataFrame | tuple[DataFrame, DataFrame]:
     """Truth rows (dataset_id, unit_id, final_rul): unit = 1-based ordinal of
-    the non-blank line in its file.
+    the non-blank line in its file. ``mode`` as in :func:`read_cycle_files`;
+    a rejected line keeps its ordinal, so the units after it stay in place.
 
     Ordinals are exact without reading a file in one task: each file block is
     read in order by one task, the rank inside a block comes from a window
@@ -172,7 +175,10 @@ def read_truth_files(spark: SparkSession, paths: list[str], mode: str = "strict"
     problem = (
         F.when(F.size(tokens) != 1, F.lit("expected 1 column"))
         .when(value.isNull(), F.lit("non-numeric value"))
+        .when(value.try_cast("int").isNull(), F.lit("value out of range"))
     )
+    if mode not in ("strict", "reject"):
+        raise ValueError("mode must be 'strict' or 'reject'")
     if mode == "strict":
         checks = lines.select("file_name", "line", F.lit(1).alias("_width"), problem.alias("_problem"))
         _raise_on_file_problems(checks, paths, None)
@@ -184,9 +190,15 @@ def read_truth_files(spark: SparkSession, paths: list[str], mode: str = "strict"
         value.alias("_v"),
         problem.alias("_problem"),
     )
-    return out.where(F.col("_problem").isNull()).select(
-        "dataset_id", "unit_id", F.col("_v").cast("int").alias("final_rul")
+    rows = out.where(F.col("_problem").isNull()).select(
+        "dataset_id", "unit_id", F.col("_v").try_cast("int").alias("final_rul")
     )
+    if mode == "strict":
+        return rows
+    rejects = out.where(F.col("_problem").isNotNull()).select(
+        "dataset_id", "file_name", "unit_id", "line", F.col("_problem").alias("problem")
+    )
+    return rows, rejects
 
 
 def load_split(

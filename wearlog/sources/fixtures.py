@@ -116,7 +116,7 @@ def cached_frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A fixture frame written once per session to the shared folder."""
     from ..session import materialize
 
-    key = (id(spark._jsparkSession), os.path.abspath(sf_dir), name)
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name)
     if key not in _MATERIALIZED:
         builders = {"lineitem": lineitem_cycles, "events": events_cycles}
         _MATERIALIZED[key] = materialize(
