@@ -115,6 +115,45 @@ def test_near_duplicates_in_long_lists(spark, monkeypatch):
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in rows) == brute_components(texts)
 
 
+def jaccard_groups(texts, least):
+    """Brute force: the least id of each text's component, links where Jaccard on word shingles reaches ``least`` (a fraction of ints)."""
+    sets = {i: {tuple(t.split()[j : j + 5]) for j in range(len(t.split()) - 4)} for i, t in texts}
+    ids, parent = sorted(sets), {i: i for i in sets}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for x, a in enumerate(ids):
+        for b in ids[x + 1 :]:
+            shared = len(sets[a] & sets[b])
+            if shared * least[1] >= (len(sets[a]) + len(sets[b]) - shared) * least[0]:
+                p, q = root(a), root(b)
+                parent[max(p, q)] = min(p, q)
+    return {i: root(i) for i in ids}
+
+
+def test_near_duplicates_of_nested_families(spark, monkeypatch):
+    """Lists too long for pairs whose typical members are all of a larger family, and a chain in which only neighbours are near."""
+    monkeypatch.setattr(near_dups, "LIST", 6)
+    monkeypatch.setattr(near_dups, "ROUND", 2)
+    monkeypatch.setattr(near_dups, "GROWTH", 2)
+    shared, rng = [f"s{i}" for i in range(900)], np.random.default_rng(5)
+    texts = []
+    for family, size in enumerate((60, 20, 9)):
+        own = [f"f{family}x{i}" for i in range(100)]
+        for _ in range(size):
+            words = shared + own
+            words[int(rng.integers(1000))] = f"edit{len(texts)}"
+            texts.append((len(texts), " ".join(words)))
+    for step in range(12):
+        texts.append((len(texts), " ".join(shared[60 * step :] + [f"c{i}" for i in range(60 * step)])))
+    texts = [(int(i), t) for i, (_, t) in zip(rng.permutation(len(texts)), texts, strict=True)]
+    rows = near_dups.near_duplicates(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in rows} == jaccard_groups(texts, (85, 100))
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(20)] + [(40, 30), (41, 40), (5, 5), (None, 3), (50, 51), (50, 51)]
     got = {r.id: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}

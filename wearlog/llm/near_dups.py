@@ -11,9 +11,19 @@ never does: only classes of whose values at least half are in such lists (others
 share a value of a short list with any partner) go on, with keys of three
 successive long-list values, then of six where a key's list is still too long.
 In a list too long even then (thousands of copies of one document, lightly
-edited) no pairs are made among members: each class meets, in the longest eight
-of its lists, the most typical members, those whose values are in the longest
-lists; links to them join such a group.
+edited) each class first meets, in the longest eight of its lists, the most
+typical members, those whose values are in the longest lists; links to them join
+such a group.
+
+What these meetings leave apart goes on until nothing is left to meet. A pair
+that passes the estimate below shares one of both sides' rarest sketch values
+(so many that the others are too few to pass): classes that have such a value in
+common with another group get their full sets, and lists by the rarest 15 % of
+them, one of which any linked pair shares. In a list whose members are not all
+joined, those outside its largest group are centres, in rounds of growing number
+until each has been one, and meet all members of other groups. No pair of a list
+is left out but those already joined; a list of R members outside a group of M
+costs at most R * (R + M) estimates.
 
 A pair goes on if the similarity estimated from the least 64 values of both
 sketches together is at most 4.5 standard errors too low. Exact counts come
@@ -47,6 +57,8 @@ LIST = 64
 CENTRES = 4
 #: Of each class's long lists, so many of the longest pair it with their typical members.
 LONGEST = 8
+#: Members of a long list that are centres in the first further round, and the factor from round to round.
+ROUND, GROWTH = 16, 16
 #: Bits of the map of ids whose full sets are wanted (half a megabyte at any size of input).
 MAP_BITS = 1 << 22
 #: Sets under six shingles reach 85 % only when equal.
@@ -122,8 +134,8 @@ def _with_lengths(posts: DataFrame, key: str) -> DataFrame:
     return posts.join(sums, key)
 
 
-def candidates(classes: DataFrame) -> DataFrame:
-    """Distinct pairs (a, b) of class ids that the inverted lists bring together."""
+def candidates(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Distinct pairs (a, b) of class ids that the inverted lists bring together, and the ids of classes mostly in long lists."""
     posts = classes.where(f"n >= {LEAST}").select("id", "n", F.size("vals").alias("k"), F.explode(F.slice("vals", 1, INDEXED)).alias("v"))
     posts = materialize(_with_lengths(posts, "v"), "near-posts")
     found = [_short_pairs(posts.where(f"df <= {LIST}"), "v")]
@@ -148,7 +160,38 @@ def candidates(classes: DataFrame) -> DataFrame:
     pairs = found[0]
     for f in found[1:]:
         pairs = pairs.unionByName(f)
-    return pairs.distinct()
+    return pairs.distinct(), often.select("id")
+
+
+def _rarest(sets: DataFrame, share: float) -> DataFrame:
+    """Lists (v, id, n) of each set's rarest values: two sets have one in common if they share ``share`` of the values of either.
+
+    sets: id, n, one (tells sets of a repeated id apart), vals.
+    """
+    vals = sets.select("id", "n", "one", F.size("vals").alias("k"), F.explode("vals").alias("v"))
+    common = vals.join(vals.groupBy("v").agg(F.count("*").alias("df")).where("df > 1"), "v").groupBy("id", "n", "one", "k").agg(F.sort_array(F.collect_set(F.struct("df", "v"))).alias("vs"))
+    # the values that no other set has come first
+    most = F.col("k") - F.ceil(F.col("k") * share - 1e-9).cast("int") + 1 - (F.col("k") - F.size("vs"))
+    posts = common.select("id", "n", F.explode(F.slice("vs", F.lit(1), F.greatest(most, F.lit(0)))).alias("x"))
+    return posts.select(F.col("x.v").alias("v"), "id", "n").distinct()
+
+
+def _apart(posts: DataFrame, joined: DataFrame) -> DataFrame:
+    """The posts of lists whose members are in several groups, with the group and the list's largest group and number of members outside it."""
+    rows = posts.join(joined, "id", "left").withColumn("own", F.coalesce("component", "id")).drop("component")
+    sums = rows.groupBy("v", "own").agg(F.count("*").alias("m")).groupBy("v").agg(
+        F.max_by("own", F.struct("m", "own")).alias("home"), (F.sum("m") - F.max("m")).alias("outside")
+    )
+    return rows.join(sums.where("outside > 0"), "v")
+
+
+def _meetings(apart: DataFrame, centres: int) -> DataFrame:
+    """Pairs a < b of different groups: so many members outside a list's largest group, each with the list."""
+    place = F.row_number().over(Window.partitionBy("v").orderBy(F.xxhash64("id"), "id"))
+    chosen = apart.where("own <> home").withColumn("place", place).where(F.col("place") <= centres)
+    p, q = chosen.select("v", F.col("id").alias("p"), F.col("n").alias("pn"), F.col("own").alias("po")), apart.select("v", F.col("id").alias("q"), F.col("n").alias("qn"), F.col("own").alias("qo"))
+    met = p.join(q, "v").where((F.col("po") != F.col("qo")) & _near_sizes("pn", "qn"))
+    return met.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
 
 
 def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -194,6 +237,25 @@ def _wanted_sets(slim: DataFrame, pairs: DataFrame) -> DataFrame:
     return scan.mapInArrow(lambda b: _sets(chosen(b), None), SET_ROWS).select(F.col("doc_id").alias("id"), "n", "vals")
 
 
+def _meet_the_rest(slim: DataFrame, classes: DataFrame, often: DataFrame, pairs: DataFrame, links: DataFrame, joined: DataFrame) -> DataFrame:
+    """The components after every pair of the classes mostly in long lists has met, but for those joined without."""
+    posts = _rarest(classes.join(often, "id", "left_semi").withColumn("one", F.col("digest")), ESTIMATE)
+    open_ids = materialize(_apart(posts, joined).select("id").distinct(), "near-open")
+    whole = materialize(_wanted_sets(slim, open_ids.select(F.col("id").alias("a"), F.col("id").alias("b"))).join(open_ids, "id", "left_semi"), "near-sets")
+    posts, centres = materialize(_rarest(whole.withColumn("one", F.xxhash64("vals")), SHARED / UNITED), "near-rarest"), ROUND
+    while True:
+        apart = materialize(_apart(posts, joined), "near-apart")
+        outside = apart.agg(F.max("outside")).first()[0]
+        if not outside:
+            return joined
+        met = materialize(estimated(_meetings(apart, centres).join(pairs, ["a", "b"], "left_anti"), classes), "near-pairs")
+        pairs, links = pairs.unionByName(met), materialize(links.unionByName(_linked(met, whole)), "near-links")
+        joined = materialize(components(links), "near-components")
+        if outside <= centres:
+            return joined
+        posts, centres = posts.join(apart.where(F.col("outside") > centres).select("v").distinct(), "v", "left_semi"), centres * GROWTH
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_shingles, class_id (least id with an equal set), component_id, kept."""
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -202,7 +264,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("vals").alias("vals")
     )
     classes = materialize(classes, "near-classes")
-    pairs = materialize(estimated(candidates(classes), classes), "near-pairs")
+    found, often = candidates(classes)
+    pairs = materialize(estimated(found, classes), "near-pairs")
     sets = materialize(_wanted_sets(slim, pairs), "near-sets")
     best = pairs.groupBy("b").agg(F.max_by("a", F.struct("estimate", -F.col("a"))).alias("a")).select("a", "b")
     links = materialize(_linked(best, sets), "near-links")
@@ -211,7 +274,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rest = pairs.join(best, ["a", "b"], "left_anti").join(label("a"), "a", "left").join(label("b"), "b", "left")
     rest = rest.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
     more = materialize(_linked(rest, sets), "near-links")
-    joined = materialize(components(links.unionByName(more)), "near-components")
+    links = links.unionByName(more)
+    joined = materialize(components(links), "near-components")
+    joined = _meet_the_rest(slim, classes, often, pairs, links, joined)
     known = classes.select("digest", "id").join(joined, "id", "left").select("digest", F.col("id").alias("class_id"), F.coalesce("component", "id").alias("component_id"))
     out = rows.select("doc_id", "n", "digest").join(known, "digest", "left")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
