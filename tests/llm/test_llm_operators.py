@@ -154,6 +154,19 @@ def test_near_duplicates_of_nested_families(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in rows} == jaccard_groups(texts, (85, 100))
 
 
+def test_near_duplicates_at_a_given_similarity(spark):
+    """One word of sixty changed in the middle: 51 of 61 shingles, linked at 0.8 and not at 0.85; 4 of 5 shingles are just enough."""
+    words = [f"p{i}" for i in range(60)]
+    texts = [(1, " ".join(words)), (2, " ".join([*words[:30], "other", *words[31:]])), (3, "a b c d e f g h"), (4, "a b c d e f g h i"), (5, "a b c d e f g"), (6, "k l m n o p q"), (7, "k l m n o p q r s")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    for similarity in ((80, 100), (85, 100)):
+        rows = near_dups.near_duplicates(docs, similarity=similarity).collect()
+        assert {r.doc_id: r.component_id for r in rows} == jaccard_groups(texts, similarity)
+    stay = near_dups.drop_near_duplicates(docs, (80, 100))
+    expect = jaccard_groups(texts, (80, 100))
+    assert sorted(r.doc_id for r in stay.collect()) == sorted(i for i, c in expect.items() if i == c) and expect[2] == 1
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(20)] + [(40, 30), (41, 40), (5, 5), (None, 3), (50, 51), (50, 51)]
     got = {r.id: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}

@@ -3,7 +3,8 @@
 A document's set is its distinct five-word shingles (ASCII letters in lower
 case; all words as one shingle if fewer), each a 64-bit hash; its sketch is the
 64 least hashes. Documents with equal sets form a class and only the classes are
-compared. Two are linked when 100 * shared >= 85 * united, counted on full sets.
+compared. Two are linked when 100 * shared >= 85 * united, counted on full sets
+(or by another ``similarity`` of at least 3/4, from which the figures follow).
 
 Candidates: inverted lists of each class's 32 least values. A list of at most
 ``LIST`` classes gives its pairs (sizes must allow the similarity). A longer list
@@ -39,6 +40,7 @@ Rows that repeat an id are one node. Extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -61,9 +63,32 @@ LONGEST = 8
 ROUND, GROWTH = 16, 16
 #: Bits of the map of ids whose full sets are wanted (half a megabyte at any size of input).
 MAP_BITS = 1 << 22
-#: Sets under six shingles reach 85 % only when equal.
-LEAST = 6
-ESTIMATE = 0.85 - 4.5 * (0.85 * 0.15 / SKETCH) ** 0.5
+
+
+class Rule(NamedTuple):
+    """Two sets are near when ``united`` * shared values >= ``shared`` * united values, 3/4 at least."""
+
+    shared: int = SHARED
+    united: int = UNITED
+
+    @property
+    def share(self) -> float:
+        return self.shared / self.united
+
+    @property
+    def least(self) -> int:
+        """Smaller sets are near only when equal: n shingles of n + 1 are too few."""
+        return -(-self.shared // (self.united - self.shared)) if self.shared < self.united else 1
+
+    @property
+    def estimate(self) -> float:
+        return self.share - 4.5 * (self.share * (1 - self.share) / SKETCH) ** 0.5
+
+    @property
+    def often(self) -> int:
+        """Of ``INDEXED`` values, so many in long lists that a class with fewer shares a value of a short list with any partner."""
+        return min(INDEXED // 2, int(INDEXED * self.share - 4.5 * (INDEXED * self.share * (1 - self.share)) ** 0.5))
+
 
 _TURN = np.array([2 * j + 3 for j in range(WORDS)], np.uint64) * np.uint64(0x9E3779B97F4A7C15)
 
@@ -112,19 +137,19 @@ def _sets(batches, size: int | None):
 SET_ROWS = "doc_id long, n long, digest binary, vals array<long>"
 
 
-def _near_sizes(n: str, m: str):
-    return (F.least(n, m) * UNITED) >= (F.greatest(n, m) * SHARED)
+def _near_sizes(n: str, m: str, rule: Rule):
+    return (F.least(n, m) * rule.united) >= (F.greatest(n, m) * rule.shared)
 
 
-def _pairs(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+def _pairs(left: DataFrame, right: DataFrame, key: str, rule: Rule) -> DataFrame:
     """Pairs a < b of two lists' members that share ``key`` and have sizes near enough."""
     p, q = left.select(key, F.col("id").alias("p"), F.col("n").alias("pn")), right.select(key, F.col("id").alias("q"), F.col("n").alias("qn"))
-    return p.join(q, key).where((F.col("p") != F.col("q")) & _near_sizes("pn", "qn")).select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"))
+    return p.join(q, key).where((F.col("p") != F.col("q")) & _near_sizes("pn", "qn", rule)).select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"))
 
 
-def _short_pairs(posts: DataFrame, key: str) -> DataFrame:
+def _short_pairs(posts: DataFrame, key: str, rule: Rule) -> DataFrame:
     p, q = posts.select(key, F.col("id").alias("p"), F.col("n").alias("pn")), posts.select(key, F.col("id").alias("q"), F.col("n").alias("qn"))
-    joined = p.join(q, key).where((F.col("p") < F.col("q")) & _near_sizes("pn", "qn"))
+    joined = p.join(q, key).where((F.col("p") < F.col("q")) & _near_sizes("pn", "qn", rule))
     return joined.select(F.col("p").alias("a"), F.col("q").alias("b"))
 
 
@@ -134,29 +159,29 @@ def _with_lengths(posts: DataFrame, key: str) -> DataFrame:
     return posts.join(sums, key)
 
 
-def candidates(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+def candidates(classes: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
     """Distinct pairs (a, b) of class ids that the inverted lists bring together, and the ids of classes mostly in long lists."""
-    posts = classes.where(f"n >= {LEAST}").select("id", "n", F.size("vals").alias("k"), F.explode(F.slice("vals", 1, INDEXED)).alias("v"))
+    posts = classes.where(f"n >= {rule.least}").select("id", "n", F.size("vals").alias("k"), F.explode(F.slice("vals", 1, INDEXED)).alias("v"))
     posts = materialize(_with_lengths(posts, "v"), "near-posts")
-    found = [_short_pairs(posts.where(f"df <= {LIST}"), "v")]
+    found = [_short_pairs(posts.where(f"df <= {LIST}"), "v", rule)]
     # classes mostly made of values in long lists
     often = posts.where(f"df > {LIST}").groupBy("id").agg(
         F.first("n").alias("n"), F.sum("df").alias("weight"), F.sort_array(F.collect_set("v")).alias("vs"), F.max("k").alias("k")
-    ).where(f"2 * size(vs) >= least(k, {INDEXED}) and size(vs) >= 3")
+    ).where(f"{INDEXED} * size(vs) >= {rule.often} * least(k, {INDEXED}) and size(vs) >= 3")
     often = materialize(often, "near-often")
     spot = F.posexplode(F.expr("transform(sequence(0, size(vs) - 3), i -> xxhash64(slice(vs, i + 1, 3)))")).alias("i", "key")
     threes = materialize(_with_lengths(often.select("id", "n", "weight", "vs", spot), "key"), "near-threes")
-    found.append(_short_pairs(threes.where(f"df <= {LIST}"), "key"))
+    found.append(_short_pairs(threes.where(f"df <= {LIST}"), "key", rule))
     long3 = threes.where(f"df > {LIST}")
     sixes = long3.where("size(vs) >= i + 6").select("id", "n", "weight", F.expr("xxhash64(slice(vs, i + 1, 6))").alias("key"))
     sixes = materialize(_with_lengths(sixes, "key"), "near-sixes")
-    found.append(_short_pairs(sixes.where(f"df <= {LIST}"), "key"))
+    found.append(_short_pairs(sixes.where(f"df <= {LIST}"), "key", rule))
     for lists in (long3, sixes.where(f"df > {LIST}")):
         place = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("weight"), "id"))
         centres = lists.select("key", "id", "n", "weight").withColumn("place", place).where(f"place <= {CENTRES}")
         own = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("df"), "key"))
         longest = lists.select("key", "id", "n", "df").withColumn("own", own).where(f"own <= {LONGEST}")
-        found.append(_pairs(centres, longest, "key"))
+        found.append(_pairs(centres, longest, "key", rule))
     pairs = found[0]
     for f in found[1:]:
         pairs = pairs.unionByName(f)
@@ -185,12 +210,12 @@ def _apart(posts: DataFrame, joined: DataFrame) -> DataFrame:
     return rows.join(sums.where("outside > 0"), "v")
 
 
-def _meetings(apart: DataFrame, centres: int) -> DataFrame:
+def _meetings(apart: DataFrame, centres: int, rule: Rule) -> DataFrame:
     """Pairs a < b of different groups: so many members outside a list's largest group, each with the list."""
     place = F.row_number().over(Window.partitionBy("v").orderBy(F.xxhash64("id"), "id"))
     chosen = apart.where("own <> home").withColumn("place", place).where(F.col("place") <= centres)
     p, q = chosen.select("v", F.col("id").alias("p"), F.col("n").alias("pn"), F.col("own").alias("po")), apart.select("v", F.col("id").alias("q"), F.col("n").alias("qn"), F.col("own").alias("qo"))
-    met = p.join(q, "v").where((F.col("po") != F.col("qo")) & _near_sizes("pn", "qn"))
+    met = p.join(q, "v").where((F.col("po") != F.col("qo")) & _near_sizes("pn", "qn", rule))
     return met.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
 
 
@@ -200,18 +225,18 @@ def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b")
 
 
-def estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+def estimated(pairs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
     """Pairs whose union-sketch estimate is high enough: a, b, estimate."""
     least = F.slice(F.array_sort(F.array_union("va", "vb")), 1, SKETCH)
     both = F.size(F.array_intersect(least, F.array_intersect("va", "vb")))
-    return _with_sets(pairs, classes).withColumn("estimate", both / F.size(least)).where(F.col("estimate") >= ESTIMATE).select("a", "b", "estimate")
+    return _with_sets(pairs, classes).withColumn("estimate", both / F.size(least)).where(F.col("estimate") >= rule.estimate).select("a", "b", "estimate")
 
 
-def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _linked(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     """The pairs that full sets confirm."""
     shared = F.size(F.array_intersect("va", "vb"))
     rows = _with_sets(pairs, sets).withColumn("shared", shared)
-    return rows.where(F.col("shared") * UNITED >= (F.col("na") + F.col("nb") - F.col("shared")) * SHARED).select("a", "b").distinct()
+    return rows.where(F.col("shared") * rule.united >= (F.col("na") + F.col("nb") - F.col("shared")) * rule.shared).select("a", "b").distinct()
 
 
 def _wanted_sets(slim: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -237,46 +262,49 @@ def _wanted_sets(slim: DataFrame, pairs: DataFrame) -> DataFrame:
     return scan.mapInArrow(lambda b: _sets(chosen(b), None), SET_ROWS).select(F.col("doc_id").alias("id"), "n", "vals")
 
 
-def _meet_the_rest(slim: DataFrame, classes: DataFrame, often: DataFrame, pairs: DataFrame, links: DataFrame, joined: DataFrame) -> DataFrame:
+def _meet_the_rest(slim: DataFrame, classes: DataFrame, often: DataFrame, pairs: DataFrame, links: DataFrame, joined: DataFrame, rule: Rule) -> DataFrame:
     """The components after every pair of the classes mostly in long lists has met, but for those joined without."""
-    posts = _rarest(classes.join(often, "id", "left_semi").withColumn("one", F.col("digest")), ESTIMATE)
+    posts = _rarest(classes.join(often, "id", "left_semi").withColumn("one", F.col("digest")), rule.estimate)
     open_ids = materialize(_apart(posts, joined).select("id").distinct(), "near-open")
     whole = materialize(_wanted_sets(slim, open_ids.select(F.col("id").alias("a"), F.col("id").alias("b"))).join(open_ids, "id", "left_semi"), "near-sets")
-    posts, centres = materialize(_rarest(whole.withColumn("one", F.xxhash64("vals")), SHARED / UNITED), "near-rarest"), ROUND
+    posts, centres = materialize(_rarest(whole.withColumn("one", F.xxhash64("vals")), rule.share), "near-rarest"), ROUND
     while True:
         apart = materialize(_apart(posts, joined), "near-apart")
         outside = apart.agg(F.max("outside")).first()[0]
         if not outside:
             return joined
-        met = materialize(estimated(_meetings(apart, centres).join(pairs, ["a", "b"], "left_anti"), classes), "near-pairs")
-        pairs, links = pairs.unionByName(met), materialize(links.unionByName(_linked(met, whole)), "near-links")
+        met = materialize(estimated(_meetings(apart, centres, rule).join(pairs, ["a", "b"], "left_anti"), classes, rule), "near-pairs")
+        pairs, links = pairs.unionByName(met), materialize(links.unionByName(_linked(met, whole, rule)), "near-links")
         joined = materialize(components(links), "near-components")
         if outside <= centres:
             return joined
         posts, centres = posts.join(apart.where(F.col("outside") > centres).select("v").distinct(), "v", "left_semi"), centres * GROWTH
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: doc_id, n_shingles, class_id (least id with an equal set), component_id, kept."""
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: tuple[int, int] = (SHARED, UNITED)) -> DataFrame:
+    """One row per input row: doc_id, n_shingles, class_id (least id with an equal set), component_id, kept. Linked: Jaccard of ``similarity`` (a fraction) or more."""
+    rule = Rule(*similarity)
+    if not 0.75 <= rule.share <= 1:
+        raise ValueError("similarity must be from 3/4 to 1")
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     rows = materialize(slim.mapInArrow(lambda b: _sets(b, SKETCH), SET_ROWS), "near-sketches")
     classes = rows.where("digest IS NOT NULL AND doc_id IS NOT NULL").groupBy("digest").agg(
         F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("vals").alias("vals")
     )
     classes = materialize(classes, "near-classes")
-    found, often = candidates(classes)
-    pairs = materialize(estimated(found, classes), "near-pairs")
+    found, often = candidates(classes, rule)
+    pairs = materialize(estimated(found, classes, rule), "near-pairs")
     sets = materialize(_wanted_sets(slim, pairs), "near-sets")
     best = pairs.groupBy("b").agg(F.max_by("a", F.struct("estimate", -F.col("a"))).alias("a")).select("a", "b")
-    links = materialize(_linked(best, sets), "near-links")
+    links = materialize(_linked(best, sets, rule), "near-links")
     first = materialize(components(links), "near-components")
     label = lambda x: first.select(F.col("id").alias(x), F.col("component").alias(f"c{x}"))
     rest = pairs.join(best, ["a", "b"], "left_anti").join(label("a"), "a", "left").join(label("b"), "b", "left")
     rest = rest.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
-    more = materialize(_linked(rest, sets), "near-links")
+    more = materialize(_linked(rest, sets, rule), "near-links")
     links = links.unionByName(more)
     joined = materialize(components(links), "near-components")
-    joined = _meet_the_rest(slim, classes, often, pairs, links, joined)
+    joined = _meet_the_rest(slim, classes, often, pairs, links, joined, rule)
     known = classes.select("digest", "id").join(joined, "id", "left").select("digest", F.col("id").alias("class_id"), F.coalesce("component", "id").alias("component_id"))
     out = rows.select("doc_id", "n", "digest").join(known, "digest", "left")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
@@ -286,7 +314,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
 
 
-def drop_near_duplicates(docs: DataFrame) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, similarity: tuple[int, int] = (SHARED, UNITED)) -> DataFrame:
     """The documents that stay, one of each group, all columns."""
-    stay = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("__near_id")).distinct()
+    stay = near_duplicates(docs, similarity=similarity).where("kept").select(F.col("doc_id").alias("__near_id")).distinct()
     return docs.join(stay, docs["doc_id"].eqNullSafe(stay["__near_id"]), "left_semi")
