@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wearlog.llm import content_dedup, exact_topk, language_id, mixing, near_dups, packing, quotes, warc, wavelet, weak_labels
+from wearlog.llm import content_dedup, exact_topk, language_id, mixing, near_dups, outliers, packing, quotes, warc, wavelet, weak_labels
 from wearlog.llm.tokens import vocabulary
 
 VOCABULARY = "word_bpe_49k.json"
@@ -58,11 +58,17 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_read(spark, sf_dir, "documents"), vocabulary(VOCABULARY), end_id=1)
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = outliers.outliers(_read(spark, sf_dir, "documents"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance2")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_exact_topk, op2_warc, op3_minhash_near_dedup, op4_language_id, op5_source_mix,
         op6_chat_formatting, op7_quality_classifier, op8_token_wavelets, op9_exact_dedup, op10_best_fit_packing,
+        op11_quality_rules,
     )
 }
 
