@@ -270,8 +270,9 @@ def outliers(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     fine = rows.where("NOT base_failed").select(own.alias("own"), wide.alias("wide"), *grid).groupBy("own", "wide", *_X).agg(F.count("*").alias("n"))
     fine = materialize(fine, "mcd-points")
     level = lambda c: fine.groupBy(c).agg(F.sum("n").alias(f"n_{c}"))
-    sizes = fine.groupBy("own", "wide").agg(F.sum("n").alias("n_own")).join(level("wide"), "wide").crossJoin(F.broadcast(fine.agg(F.sum("n").alias("n_all"))))
-    use = F.when(F.col("n_own") >= LEAST, F.col("own")).when(F.col("n_wide") >= LEAST, F.col("wide")).when(F.col("n_all") >= LEAST, all_)
+    sizes = fine.groupBy("own", "wide").agg(F.sum("n").alias("n_own")).join(level("wide"), "wide")
+    total = fine.agg(F.sum("n")).first()[0] or 0
+    use = F.when(F.col("n_own") >= LEAST, F.col("own")).when(F.col("n_wide") >= LEAST, F.col("wide")).when(F.lit(total >= LEAST), all_)
     cells = materialize(sizes.select("own", use.alias("cell")), "mcd-cells")
     used = cells.select("cell").distinct()
     points = fine.select(F.explode(F.array("own", "wide", all_)).alias("cell"), *_X, "n").join(used, "cell", "left_semi")

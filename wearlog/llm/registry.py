@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wearlog.llm import content_dedup, exact_topk, language_id, mixing, near_dups, outliers, packing, quotes, warc, wavelet, weak_labels
+from wearlog.llm import content_dedup, exact_topk, language_id, lexical, mixing, near_dups, outliers, packing, prefix_trie, quotes, warc, wavelet, weak_labels
 from wearlog.llm.tokens import vocabulary
 
 VOCABULARY = "word_bpe_49k.json"
@@ -63,12 +63,30 @@ def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance2")
 
 
+def rebuilt_conversations(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The turns of conversations that begin with their hundred's first ones, and all conversation ids."""
+    ids = rows.where("conv_id IS NOT NULL").select(F.col("conv_id").cast("long").alias("conv_id")).distinct()
+    heads = F.pmod(F.crc32(F.col("conv_id").cast("string").cast("binary")), F.lit(6))
+    return prefix_trie.shared_heads(prefix_trie.ordered_turns(rows), ids, heads, F.expr("conv_id - conv_id % 100"), 5), ids
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nodes, ends = prefix_trie.prefix_trie(*rebuilt_conversations(_read(spark, sf_dir, "conversations")))
+    digests = nodes.join(prefix_trie.end_digests(ends), "node_id", "left")
+    nobody = F.sha2(F.lit("").cast("binary"), 256)
+    return digests.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", F.coalesce("ends_sha256", nobody).alias("ends_sha256"))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(lexical.build_index(_read(spark, sf_dir, "documents")), _read(spark, sf_dir, "benchmark"), 10)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_exact_topk, op2_warc, op3_minhash_near_dedup, op4_language_id, op5_source_mix,
         op6_chat_formatting, op7_quality_classifier, op8_token_wavelets, op9_exact_dedup, op10_best_fit_packing,
-        op11_quality_rules,
+        op11_quality_rules, op12_prefix_trie, op13_ranked_search,
     )
 }
 
@@ -129,4 +147,59 @@ WITH n AS (
 )
 SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = min(doc_id) OVER g AS kept, sha256(t) AS text_sha256
 FROM n WINDOW g AS (PARTITION BY t)""",
+    "op12_prefix_trie": """
+WITH c AS (
+  -- crc32 of the id's decimal text, a byte and eight shifts at a time
+  SELECT DISTINCT conv_id, conv_id - conv_id % 100 AS base,
+    xor(4294967295, list_reduce(
+      list_concat([4294967295], flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda ch: [CAST(ascii(ch) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+      lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, (a & 1) * 3988292384) END)) % 6 AS h
+  FROM conversations WHERE conv_id IS NOT NULL
+), o AS (
+  SELECT conv_id, list({'r': coalesce(role, ''), 't': coalesce(text, '')} ORDER BY turn NULLS FIRST, coalesce(role, ''),
+    sha256(octet_length(encode(coalesce(role, ''))) || ':' || coalesce(role, '') || coalesce(text, ''))) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), s AS (
+  SELECT c.conv_id, list_concat(coalesce(b.turns[1:h], []), o.turns[h + 1:]) AS q
+  FROM c JOIN o USING (conv_id) LEFT JOIN o b ON b.conv_id = c.base
+), p AS (
+  SELECT conv_id, q[1:d] AS path, d = len(q) AS ends FROM (SELECT conv_id, q, unnest(range(0, len(q) + 1)) AS d FROM s)
+), n AS (
+  SELECT path, len(path) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+    coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '') AS ended
+  FROM p GROUP BY path
+), k AS (
+  SELECT n.*, (SELECT count(*) FROM n m WHERE m.depth = n.depth + 1 AND m.path[1:n.depth] = n.path) AS n_children FROM n
+), t AS (
+  SELECT a.path, count(*) FILTER (b.n_children = 0) AS n_leaves,
+    CAST(sum((b.n_convs - 1) * CASE WHEN b.depth = 0 THEN 0 ELSE length(b.path[b.depth].t) END) AS BIGINT) AS saved_tokens
+  FROM k a JOIN k b ON b.depth >= a.depth AND b.path[1:a.depth] = a.path GROUP BY a.path
+)
+SELECT k.conv_id, CAST(k.depth AS BIGINT) AS depth, u.conv_id AS parent_conv_id, k.n_convs, k.n_children, t.n_leaves, t.saved_tokens, sha256(k.ended) AS ends_sha256
+FROM k JOIN t ON t.path = k.path LEFT JOIN n u ON k.depth > 0 AND u.depth = k.depth - 1 AND u.path = k.path[1:k.depth - 1]""",
+    "op13_ranked_search": r"""
+WITH d AS (
+  SELECT place_number() OVER () AS place, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+), i AS (
+  SELECT item_id, regexp_extract_all(
+    translate(coalesce(min(text), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM benchmark WHERE item_id IS NOT NULL GROUP BY item_id
+), s AS (
+  SELECT count(*) FILTER (len(terms) > 0) AS N, CAST(sum(len(terms)) AS BIGINT) AS L FROM d
+), f AS (
+  SELECT place, doc_id, len(terms) AS n, term, count(*) AS tf FROM (SELECT place, doc_id, terms, unnest(terms) AS term FROM d) GROUP BY place, doc_id, len(terms), term
+), q AS (
+  SELECT item_id, term, count(*) AS reps FROM (SELECT item_id, unnest(terms) AS term FROM i) GROUP BY item_id, term
+), w AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * N + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM f GROUP BY term), s
+), r AS (
+  SELECT item_id, place, doc_id, CAST(sum(reps * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * N) // L)))) AS BIGINT) AS score
+  FROM q JOIN w USING (term) JOIN f USING (term), s WHERE doc_id IS NOT NULL GROUP BY item_id, place, doc_id
+), x AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM r WHERE score > 0
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM x WHERE rank <= 10""",
 }

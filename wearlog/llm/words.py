@@ -68,11 +68,11 @@ def hash_spans(data: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> np.nda
     return h
 
 
-def spans(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and lengths of the maximal runs without white space, never across texts."""
+def spans(data: np.ndarray, bounds: np.ndarray, gaps: np.ndarray = WHITE) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and lengths of the maximal runs without white space (or other ``gaps``, a mark per byte), never across texts."""
     if not len(data):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    ink = ~WHITE[data]
+    ink = ~gaps[data]
     fresh = np.zeros(len(data) + 1, bool)
     fresh[bounds] = True
     before = np.empty(len(data), bool)
