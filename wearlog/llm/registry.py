@@ -179,7 +179,7 @@ SELECT k.conv_id, CAST(k.depth AS BIGINT) AS depth, u.conv_id AS parent_conv_id,
 FROM k JOIN t ON t.path = k.path LEFT JOIN n u ON k.depth > 0 AND u.depth = k.depth - 1 AND u.path = k.path[1:k.depth - 1]""",
     "op13_ranked_search": r"""
 WITH d AS (
-  SELECT place_number() OVER () AS place, doc_id, regexp_extract_all(
+  SELECT row_number() OVER () AS place, doc_id, regexp_extract_all(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
   FROM documents
 ), i AS (
