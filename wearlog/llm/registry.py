@@ -187,16 +187,16 @@ WITH d AS (
     translate(coalesce(min(text), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
   FROM benchmark WHERE item_id IS NOT NULL GROUP BY item_id
 ), s AS (
-  SELECT count(*) FILTER (len(terms) > 0) AS N, CAST(sum(len(terms)) AS BIGINT) AS L FROM d
+  SELECT count(*) FILTER (len(terms) > 0) AS docs, CAST(sum(len(terms)) AS BIGINT) AS total FROM d
 ), f AS (
-  SELECT place, doc_id, len(terms) AS n, term, count(*) AS tf FROM (SELECT place, doc_id, terms, unnest(terms) AS term FROM d) GROUP BY place, doc_id, len(terms), term
+  SELECT place, doc_id, len(terms) AS size, term, count(*) AS tf FROM (SELECT place, doc_id, terms, unnest(terms) AS term FROM d) GROUP BY place, doc_id, len(terms), term
 ), q AS (
   SELECT item_id, term, count(*) AS reps FROM (SELECT item_id, unnest(terms) AS term FROM i) GROUP BY item_id, term
 ), w AS (
-  SELECT term, CAST(floor(1000 * ln(CAST(2 * N + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w
   FROM (SELECT term, count(*) AS df FROM f GROUP BY term), s
 ), r AS (
-  SELECT item_id, place, doc_id, CAST(sum(reps * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * N) // L)))) AS BIGINT) AS score
+  SELECT item_id, place, doc_id, CAST(sum(reps * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * size * docs) // total)))) AS BIGINT) AS score
   FROM q JOIN w USING (term) JOIN f USING (term), s WHERE doc_id IS NOT NULL GROUP BY item_id, place, doc_id
 ), x AS (
   SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM r WHERE score > 0
