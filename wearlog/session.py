@@ -77,4 +77,18 @@ def materialize(df, name: str, partition_by: list[str] | None = None):
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    out._written_at = path
+    return out
+
+
+def discard(*frames) -> None:
+    """Delete the files behind frames that :func:`materialize` returned, once nothing
+    that is still to run reads them (a turn of a loop after the next one is written).
+    Frames of other origin are left alone."""
+    for df in frames:
+        path = getattr(df, "_written_at", None)
+        if path is not None:
+            jvm, conf = df.sparkSession._jvm, df.sparkSession._jsparkSession.sessionState().newHadoopConf()
+            target = jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(conf).delete(target, True)
