@@ -154,6 +154,32 @@ def test_near_duplicates_of_nested_families(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in rows} == jaccard_groups(texts, (85, 100))
 
 
+@pytest.mark.parametrize("rounds, similarity", [(8, (85, 100)), (1, (85, 100)), (3, (80, 100))])
+def test_near_duplicates_by_pivots_and_differences(spark, monkeypatch, rounds, similarity):
+    """Families edited lightly to heavily, families within them, mixtures of passages, repeated ids: no link is lost by any number of rounds."""
+    monkeypatch.setattr(near_dups, "LIST", 4)
+    monkeypatch.setattr(near_dups, "ROUNDS", rounds)
+    monkeypatch.setattr(near_dups, "ROUND", 2)
+    rng, texts = np.random.default_rng(rounds), []
+    for family in range(2):
+        base = [f"b{family}w{i}" for i in range(100)]
+        sub = list(base)
+        sub[10:18] = [f"sub{family}x{i}" for i in range(8)]
+        for _ in range(45):
+            words = list(base if rng.random() < 0.6 else sub)
+            for _ in range(int(rng.integers(0, 9))):
+                words[int(rng.integers(100))] = f"e{int(rng.integers(0, 60))}" if rng.random() < 0.5 else f"u{len(texts)}_{int(rng.integers(1000))}"
+            if rng.random() < 0.2:
+                words = words[: int(rng.integers(60, 100))]
+            texts.append((len(texts), " ".join(words)))
+    passages = [" ".join(f"p{k}w{i}" for i in range(25)) for k in range(5)]
+    for _ in range(40):
+        pick = rng.permutation(5)[: int(rng.integers(2, 5))]
+        texts.append((len(texts), " ".join([passages[k] for k in pick] + [f"o{len(texts)}_{i}" for i in range(int(rng.integers(0, 12)))])))
+    rows = near_dups.near_duplicates(spark.createDataFrame(texts, "doc_id long, text string"), similarity=similarity).collect()
+    assert {r.doc_id: r.component_id for r in rows} == jaccard_groups(texts, similarity)
+
+
 def test_near_duplicates_at_a_given_similarity(spark):
     """One word of sixty changed in the middle: 51 of 61 shingles, linked at 0.8 and not at 0.85; 4 of 5 shingles are just enough."""
     words = [f"p{i}" for i in range(60)]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wearlog.session import materialize
+from wearlog.session import discard, materialize
 
 TURNS = 64
 
@@ -20,7 +20,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     Large and small stars in turn (each node points its larger neighbours, then
     its smaller ones, at the least id it sees) until nothing changes: a number of
     turns about the logarithm of a component's size. Each turn is written to the
-    shared folder. Null ends and links of an id with itself count for nothing.
+    shared folder, and the one before it deleted, as is all but the result. Null ends and links of an id with itself count for nothing.
     """
     high, low = F.greatest(a, b).alias("u"), F.least(a, b).alias("v")
     edges = materialize(links.where(f"`{a}` <> `{b}`").select(high, low).distinct(), "links")
@@ -33,10 +33,14 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = materialize(small.unionByName(least.withColumnRenamed("m", "v")).distinct(), "links")
+        before, edges = edges, materialize(small.unionByName(least.withColumnRenamed("m", "v")).distinct(), "links")
+        discard(before)
         mark, last = _mark(edges), mark
         if mark == last:
             break
     else:
         raise RuntimeError("components did not settle")
-    return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(edges.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
+    ends = edges.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
+    out = materialize(edges.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(ends), "components")
+    discard(edges)
+    return out

@@ -9,22 +9,25 @@ compared. Two are linked when 100 * shared >= 85 * united, counted on full sets
 Candidates: inverted lists of each class's 32 least values. A list of at most
 ``LIST`` classes gives its pairs (sizes must allow the similarity). A longer list
 never does: only classes of whose values at least half are in such lists (others
-share a value of a short list with any partner) go on, with keys of three
-successive long-list values, then of six where a key's list is still too long.
-In a list too long even then (thousands of copies of one document, lightly
-edited) each class first meets, in the longest eight of its lists, the most
-typical members, those whose values are in the longest lists; links to them join
-such a group.
-
-What these meetings leave apart goes on until nothing is left to meet. A pair
-that passes the estimate below shares one of both sides' rarest sketch values
-(so many that the others are too few to pass): classes that have such a value in
-common with another group get their full sets, and lists by the rarest 15 % of
-them, one of which any linked pair shares. In a list whose members are not all
-joined, those outside its largest group are centres, in rounds of growing number
-until each has been one, and meet all members of other groups. No pair of a list
-is left out but those already joined; a list of R members outside a group of M
-costs at most R * (R + M) estimates.
+share a value of a short list with any partner) go on, with their full sets, to
+rounds over lists whose members are not all joined yet:
+
+* A list of at most ``LIST`` members gives its pairs across groups.
+* A longer list gets a pivot (the member in most long lists), and every member one
+  comparison with it: near ones are joined by that. A set is then known by its
+  difference from the pivot (values it has more, values it lacks). Two sets differ
+  where their differences do, so sets that are near each other, one of them not near
+  the pivot, share values of their differences: more than
+  ``(|Dz| - b (|z| - |p|)) / 2`` of a member z near the pivot p, at least
+  ``|Dz| - (1 - t) / t |z|`` of any other (t the similarity, b = (1 - t) / (1 + t)).
+  So one of each set's rarest differences (all but that many and one more) is
+  shared, and those make the next round's lists: edits instead of common text.
+* A member less than half alike to the pivot cannot be near one that is 1.5 - t alike
+  or more (Jaccard distance is a metric); those less alike than that have lists by the
+  rarest values of their own sets, too.
+
+Every pair of a list is thus linked, joined already, in a list of the next round, or
+excluded by proof. Lists left after ``ROUNDS`` rounds are met member by member.
 
 A pair goes on if the similarity estimated from the least 64 values of both
 sketches together is at most 4.5 standard errors too low. Exact counts come
@@ -32,7 +35,7 @@ first for each class's best pair; of the others only pairs that still join two
 components are counted.
 
 Miss rates for a pair at the threshold: about 1e-25 by the short lists, 1e-5 by
-keys of three, 1e-5 by the estimate. Null and blank texts have the empty set and
+the estimate. Null and blank texts have the empty set and
 no links. A null id has no class: its row has a null component and is kept.
 Rows that repeat an id are one node. Extra columns are ignored.
 """
@@ -49,16 +52,19 @@ from pyspark.sql import functions as F
 
 from wearlog.llm.links import components
 from wearlog.llm.words import LOWER, chunks, hash_spans, mix, spans
-from wearlog.session import materialize
+from wearlog.session import discard, materialize
 
 WORDS = 5
 SHARED, UNITED = 85, 100
 SKETCH = 64
 INDEXED = 32
 LIST = 64
-CENTRES = 4
-#: Of each class's long lists, so many of the longest pair it with their typical members.
-LONGEST = 8
+#: Rounds of pivots before what is left meets member by member.
+ROUNDS = 8
+#: Members at least so much alike to a pivot (in percent) have lists by differences.
+HALF = 50
+#: A pivot's set is dealt to so many partitions.
+SALT = 32
 #: Members of a long list that are centres in the first further round, and the factor from round to round.
 ROUND, GROWTH = 16, 16
 #: Bits of the map of ids whose full sets are wanted (half a megabyte at any size of input).
@@ -84,6 +90,11 @@ class Rule(NamedTuple):
     def estimate(self) -> float:
         return self.share - 4.5 * (self.share * (1 - self.share) / SKETCH) ** 0.5
 
+    @property
+    def wide(self) -> int:
+        """Percent: a set so much alike to a pivot is near none that is less than ``HALF`` alike to it."""
+        return HALF + -(-100 * (self.united - self.shared) // self.united)
+
     @property
     def often(self) -> int:
         """Of ``INDEXED`` values, so many in long lists that a class with fewer shares a value of a short list with any partner."""
@@ -141,12 +152,6 @@ def _near_sizes(n: str, m: str, rule: Rule):
     return (F.least(n, m) * rule.united) >= (F.greatest(n, m) * rule.shared)
 
 
-def _pairs(left: DataFrame, right: DataFrame, key: str, rule: Rule) -> DataFrame:
-    """Pairs a < b of two lists' members that share ``key`` and have sizes near enough."""
-    p, q = left.select(key, F.col("id").alias("p"), F.col("n").alias("pn")), right.select(key, F.col("id").alias("q"), F.col("n").alias("qn"))
-    return p.join(q, key).where((F.col("p") != F.col("q")) & _near_sizes("pn", "qn", rule)).select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"))
-
-
 def _short_pairs(posts: DataFrame, key: str, rule: Rule) -> DataFrame:
     p, q = posts.select(key, F.col("id").alias("p"), F.col("n").alias("pn")), posts.select(key, F.col("id").alias("q"), F.col("n").alias("qn"))
     joined = p.join(q, key).where((F.col("p") < F.col("q")) & _near_sizes("pn", "qn", rule))
@@ -163,65 +168,80 @@ def candidates(classes: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
     """Distinct pairs (a, b) of class ids that the inverted lists bring together, and the ids of classes mostly in long lists."""
     posts = classes.where(f"n >= {rule.least}").select("id", "n", F.size("vals").alias("k"), F.explode(F.slice("vals", 1, INDEXED)).alias("v"))
     posts = materialize(_with_lengths(posts, "v"), "near-posts")
-    found = [_short_pairs(posts.where(f"df <= {LIST}"), "v", rule)]
     # classes mostly made of values in long lists
-    often = posts.where(f"df > {LIST}").groupBy("id").agg(
-        F.first("n").alias("n"), F.sum("df").alias("weight"), F.sort_array(F.collect_set("v")).alias("vs"), F.max("k").alias("k")
-    ).where(f"{INDEXED} * size(vs) >= {rule.often} * least(k, {INDEXED}) and size(vs) >= 3")
-    often = materialize(often, "near-often")
-    spot = F.posexplode(F.expr("transform(sequence(0, size(vs) - 3), i -> xxhash64(slice(vs, i + 1, 3)))")).alias("i", "key")
-    threes = materialize(_with_lengths(often.select("id", "n", "weight", "vs", spot), "key"), "near-threes")
-    found.append(_short_pairs(threes.where(f"df <= {LIST}"), "key", rule))
-    long3 = threes.where(f"df > {LIST}")
-    sixes = long3.where("size(vs) >= i + 6").select("id", "n", "weight", F.expr("xxhash64(slice(vs, i + 1, 6))").alias("key"))
-    sixes = materialize(_with_lengths(sixes, "key"), "near-sixes")
-    found.append(_short_pairs(sixes.where(f"df <= {LIST}"), "key", rule))
-    for lists in (long3, sixes.where(f"df > {LIST}")):
-        place = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("weight"), "id"))
-        centres = lists.select("key", "id", "n", "weight").withColumn("place", place).where(f"place <= {CENTRES}")
-        own = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("df"), "key"))
-        longest = lists.select("key", "id", "n", "df").withColumn("own", own).where(f"own <= {LONGEST}")
-        found.append(_pairs(centres, longest, "key", rule))
-    pairs = found[0]
-    for f in found[1:]:
-        pairs = pairs.unionByName(f)
-    return pairs.distinct(), often.select("id")
-
-
-def _rarest(sets: DataFrame, share: float) -> DataFrame:
-    """Lists (v, id, n) of each set's rarest values: two sets have one in common if they share ``share`` of the values of either.
-
-    sets: id, n, one (tells sets of a repeated id apart), vals.
+    often = posts.where(f"df > {LIST}").groupBy("id").agg(F.countDistinct("v").alias("k_long"), F.max("k").alias("k"))
+    often = often.where(f"{INDEXED} * k_long >= {rule.often} * least(k, {INDEXED}) and k_long >= 3")
+    return _short_pairs(posts.where(f"df <= {LIST}"), "v", rule).distinct(), materialize(often.select("id"), "near-often")
+
+
+def _prefixes(sets: DataFrame, most) -> DataFrame:
+    """Lists (v, sid, id, n) of each set's rarest values: the first ``most`` of its k by number of sets, values of no other set first.
+
+    sets: sid, id, n, g (tells one sid's sets apart), vals and what ``most`` is made of, k too.
     """
-    vals = sets.select("id", "n", "one", F.size("vals").alias("k"), F.explode("vals").alias("v"))
-    common = vals.join(vals.groupBy("v").agg(F.count("*").alias("df")).where("df > 1"), "v").groupBy("id", "n", "one", "k").agg(F.sort_array(F.collect_set(F.struct("df", "v"))).alias("vs"))
-    # the values that no other set has come first
-    most = F.col("k") - F.ceil(F.col("k") * share - 1e-9).cast("int") + 1 - (F.col("k") - F.size("vs"))
-    posts = common.select("id", "n", F.explode(F.slice("vs", F.lit(1), F.greatest(most, F.lit(0)))).alias("x"))
-    return posts.select(F.col("x.v").alias("v"), "id", "n").distinct()
+    vals = sets.withColumn("k", F.size("vals")).withColumn("most", most).where("most > 0")
+    vals = vals.select("sid", "id", "n", "g", "k", "most", F.explode("vals").alias("v"))
+    shared = vals.join(vals.groupBy("v").agg(F.count("*").alias("df")).where("df > 1"), "v")
+    common = shared.groupBy("sid", "id", "n", "g", "k", "most").agg(F.sort_array(F.collect_set(F.struct("df", "v"))).alias("vs"))
+    left = F.greatest(F.col("most").cast("int") - (F.col("k") - F.size("vs")), F.lit(0))
+    return common.select("sid", "id", "n", F.explode(F.slice("vs", F.lit(1), left)).alias("x")).select(F.col("x.v").alias("v"), "sid", "id", "n").distinct()
+
+
+def _own_prefix(share: float):
+    """Two sets have one of so many rarest values in common if they share ``share`` of the values of either."""
+    return F.col("k") - F.ceil(F.col("k") * share - 1e-9).cast("int") + 1
 
 
 def _apart(posts: DataFrame, joined: DataFrame) -> DataFrame:
-    """The posts of lists whose members are in several groups, with the group and the list's largest group and number of members outside it."""
+    """The posts of lists whose members are in several groups, with the group, the list's largest group, its members outside that and its length."""
     rows = posts.join(joined, "id", "left").withColumn("own", F.coalesce("component", "id")).drop("component")
     sums = rows.groupBy("v", "own").agg(F.count("*").alias("m")).groupBy("v").agg(
-        F.max_by("own", F.struct("m", "own")).alias("home"), (F.sum("m") - F.max("m")).alias("outside")
+        F.max_by("own", F.struct("m", "own")).alias("home"), (F.sum("m") - F.max("m")).alias("outside"), F.sum("m").alias("members")
     )
     return rows.join(sums.where("outside > 0"), "v")
 
 
-def _meetings(apart: DataFrame, centres: int, rule: Rule) -> DataFrame:
-    """Pairs a < b of different groups: so many members outside a list's largest group, each with the list."""
-    place = F.row_number().over(Window.partitionBy("v").orderBy(F.xxhash64("id"), "id"))
-    chosen = apart.where("own <> home").withColumn("place", place).where(F.col("place") <= centres)
-    p, q = chosen.select("v", F.col("id").alias("p"), F.col("n").alias("pn"), F.col("own").alias("po")), apart.select("v", F.col("id").alias("q"), F.col("n").alias("qn"), F.col("own").alias("qo"))
+def _across(chosen: DataFrame, apart: DataFrame, rule: Rule) -> DataFrame:
+    """Pairs a < b (sids) of different groups and near sizes: ``chosen`` members of lists with all members."""
+    p, q = chosen.select("v", F.col("sid").alias("p"), F.col("n").alias("pn"), F.col("own").alias("po")), apart.select("v", F.col("sid").alias("q"), F.col("n").alias("qn"), F.col("own").alias("qo"))
     met = p.join(q, "v").where((F.col("po") != F.col("qo")) & _near_sizes("pn", "qn", rule))
     return met.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
 
 
-def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Each pair with both sides' values and sizes."""
-    side = lambda x: sets.select(F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("vals").alias(f"v{x}"))
+def _against_pivots(apart: DataFrame, whole: DataFrame, rule: Rule) -> DataFrame:
+    """Each member of a long list against the list's pivot: sid, id, n, vals, p (the pivot's sid), pid, pn, pv, shared, linked."""
+    long = apart.where(f"members > {LIST}")
+    weight = long.groupBy("sid").agg(F.count("*").alias("lists"))
+    pivots = long.join(weight, "sid").groupBy("v").agg(F.max_by("sid", F.struct("lists", -F.col("id"), "sid")).alias("p"))
+    pairs = long.select("v", "sid").join(pivots, "v").where("sid <> p").select("sid", "p").distinct()
+    salt = F.pmod(F.xxhash64("sid"), F.lit(SALT))
+    sides = pairs.join(whole, "sid").withColumn("salt", salt)
+    centres = whole.join(pivots.select(F.col("p").alias("sid")).distinct(), "sid", "left_semi").select(
+        F.col("sid").alias("p"), F.col("id").alias("pid"), F.col("n").alias("pn"), F.col("vals").alias("pv"), F.explode(F.sequence(F.lit(0), F.lit(SALT - 1)).cast("array<bigint>")).alias("salt")
+    )
+    both = sides.join(centres, ["p", "salt"]).drop("salt").withColumn("shared", F.size(F.array_intersect("vals", "pv")))
+    united = F.col("n") + F.col("pn") - F.col("shared")
+    alike = F.floor(100 * F.col("shared") / united)
+    return both.withColumn("linked", F.col("shared") * rule.united >= united * rule.shared).withColumn("alike", alike)
+
+
+def _next_lists(met: DataFrame, rule: Rule) -> DataFrame:
+    """Lists of the next round: by rarest differences from a pivot, or by a set's own rarest values."""
+    s, u = rule.shared, rule.united
+    signed = lambda c, sign: F.transform(c, lambda x: F.xxhash64(F.col("p"), x, F.lit(sign)))
+    more, less = F.array_except("vals", "pv"), F.array_except("pv", "vals")
+    by_pivot = met.where(F.col("alike") >= HALF).select("sid", "id", "n", F.col("p").alias("g"), "pn", "linked", F.concat(signed(more, 1), signed(less, -1)).alias("vals"))
+    k = F.col("k")
+    near = F.floor((k * (u + s) - (u - s) * (F.col("n") - F.col("pn"))) / (2 * (u + s))) + 1
+    other = F.ceil((k * s - (u - s) * F.col("n")) / s)
+    need = F.greatest(F.when(F.col("linked"), near).otherwise(other), F.lit(1))
+    own = met.where(F.col("alike") < rule.wide).select("sid", "id", "n", F.lit(0).cast("long").alias("g"), "vals").dropDuplicates(["sid"])
+    return _prefixes(by_pivot, k - need + 1).unionByName(_prefixes(own, _own_prefix(rule.share)))
+
+
+def _with_sets(pairs: DataFrame, sets: DataFrame, key: str = "id") -> DataFrame:
+    """Each pair with both sides' ids, values and sizes."""
+    side = lambda x: sets.select(F.col(key).alias(x), F.col("id").alias(f"id{x}"), F.col("n").alias(f"n{x}"), F.col("vals").alias(f"v{x}"))
     return pairs.join(side("a"), "a").join(side("b"), "b")
 
 
@@ -232,11 +252,12 @@ def estimated(pairs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
     return _with_sets(pairs, classes).withColumn("estimate", both / F.size(least)).where(F.col("estimate") >= rule.estimate).select("a", "b", "estimate")
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
-    """The pairs that full sets confirm."""
+def _linked(pairs: DataFrame, sets: DataFrame, rule: Rule, key: str = "id") -> DataFrame:
+    """The pairs that full sets confirm, as ids a and b."""
     shared = F.size(F.array_intersect("va", "vb"))
-    rows = _with_sets(pairs, sets).withColumn("shared", shared)
-    return rows.where(F.col("shared") * rule.united >= (F.col("na") + F.col("nb") - F.col("shared")) * rule.shared).select("a", "b").distinct()
+    rows = _with_sets(pairs, sets, key).withColumn("shared", shared)
+    near = rows.where(F.col("shared") * rule.united >= (F.col("na") + F.col("nb") - F.col("shared")) * rule.shared)
+    return near.select(F.col("ida").alias("a"), F.col("idb").alias("b")).distinct()
 
 
 def _wanted_sets(slim: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -262,20 +283,37 @@ def _wanted_sets(slim: DataFrame, pairs: DataFrame) -> DataFrame:
     return scan.mapInArrow(lambda b: _sets(chosen(b), None), SET_ROWS).select(F.col("doc_id").alias("id"), "n", "vals")
 
 
-def _meet_the_rest(slim: DataFrame, classes: DataFrame, often: DataFrame, pairs: DataFrame, links: DataFrame, joined: DataFrame, rule: Rule) -> DataFrame:
-    """The components after every pair of the classes mostly in long lists has met, but for those joined without."""
-    posts = _rarest(classes.join(often, "id", "left_semi").withColumn("one", F.col("digest")), rule.estimate)
-    open_ids = materialize(_apart(posts, joined).select("id").distinct(), "near-open")
-    whole = materialize(_wanted_sets(slim, open_ids.select(F.col("id").alias("a"), F.col("id").alias("b"))).join(open_ids, "id", "left_semi"), "near-sets")
-    posts, centres = materialize(_rarest(whole.withColumn("one", F.xxhash64("vals")), rule.share), "near-rarest"), ROUND
+def _meet_the_rest(slim: DataFrame, classes: DataFrame, often: DataFrame, links: DataFrame, joined: DataFrame, rule: Rule) -> DataFrame:
+    """The components after every pair of the classes mostly in long lists is linked, joined without, or excluded."""
+    sketched = classes.join(often, "id", "left_semi").withColumns({"sid": F.col("id"), "g": F.xxhash64("digest")})
+    apart = _apart(_prefixes(sketched.select("sid", "id", "n", "g", "vals"), _own_prefix(rule.estimate)), joined)
+    first = materialize(apart.select("v", "id").distinct(), "near-first")
+    open_ids = first.select("id").distinct()
+    whole = _wanted_sets(slim, open_ids.select(F.col("id").alias("a"), F.col("id").alias("b"))).join(open_ids, "id", "left_semi")
+    whole = materialize(whole.withColumn("sid", F.xxhash64("id", "vals")).dropDuplicates(["sid"]).select("sid", "id", "n", "vals"), "near-sets")
+    posts = first.join(whole.select("sid", "id", "n"), "id").select("v", "sid", "id", "n")
+    for _ in range(ROUNDS):
+        apart = materialize(_apart(posts, joined), "near-apart")
+        if apart.isEmpty():
+            return joined
+        short = apart.where(f"members <= {LIST}")
+        met = materialize(_against_pivots(apart, whole, rule), "near-pivots")
+        found = _linked(_across(short, short, rule), whole, rule, "sid")
+        near = met.where("linked").select(F.col("pid").alias("a"), F.col("id").alias("b"))
+        old = links, joined, posts, apart, met
+        links = materialize(links.unionByName(found).unionByName(near).distinct(), "near-links")
+        joined, posts = components(links), materialize(_next_lists(met, rule), "near-lists")
+        discard(*old)
+    centres = ROUND
     while True:
         apart = materialize(_apart(posts, joined), "near-apart")
         outside = apart.agg(F.max("outside")).first()[0]
         if not outside:
             return joined
-        met = materialize(estimated(_meetings(apart, centres, rule).join(pairs, ["a", "b"], "left_anti"), classes, rule), "near-pairs")
-        pairs, links = pairs.unionByName(met), materialize(links.unionByName(_linked(met, whole, rule)), "near-links")
-        joined = materialize(components(links), "near-components")
+        place = F.row_number().over(Window.partitionBy("v").orderBy(F.xxhash64("sid"), "sid"))
+        chosen = apart.where("own <> home").withColumn("place", place).where(F.col("place") <= centres)
+        links = materialize(links.unionByName(_linked(_across(chosen, apart, rule), whole, rule, "sid")), "near-links")
+        joined = components(links)
         if outside <= centres:
             return joined
         posts, centres = posts.join(apart.where(F.col("outside") > centres).select("v").distinct(), "v", "left_semi"), centres * GROWTH
@@ -297,14 +335,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sets = materialize(_wanted_sets(slim, pairs), "near-sets")
     best = pairs.groupBy("b").agg(F.max_by("a", F.struct("estimate", -F.col("a"))).alias("a")).select("a", "b")
     links = materialize(_linked(best, sets, rule), "near-links")
-    first = materialize(components(links), "near-components")
+    first = components(links)
     label = lambda x: first.select(F.col("id").alias(x), F.col("component").alias(f"c{x}"))
     rest = pairs.join(best, ["a", "b"], "left_anti").join(label("a"), "a", "left").join(label("b"), "b", "left")
     rest = rest.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
     more = materialize(_linked(rest, sets, rule), "near-links")
-    links = links.unionByName(more)
-    joined = materialize(components(links), "near-components")
-    joined = _meet_the_rest(slim, classes, often, pairs, links, joined, rule)
+    links = materialize(links.unionByName(more), "near-links")
+    joined = components(links)
+    discard(pairs, sets, first, more)
+    joined = _meet_the_rest(slim, classes, often, links, joined, rule)
     known = classes.select("digest", "id").join(joined, "id", "left").select("digest", F.col("id").alias("class_id"), F.coalesce("component", "id").alias("component_id"))
     out = rows.select("doc_id", "n", "digest").join(known, "digest", "left")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
