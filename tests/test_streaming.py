@@ -1,82 +1,139 @@
-"""The stateful stream scorer replayed over files must end with the same
-latest feature row per unit as the batch operators."""
-
-import os
+"""The stateful stream scorer must end with the latest feature row per unit that the
+batch operators give, however its rows are cut into micro-batches, and count late rows."""
 
+import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
-from wearlog.operators.features import build_rolling_features
+from wearlog.operators.features import build_rolling_features, feature_names
 from wearlog.operators.latest import dedupe_keep_last, latest_row_per_unit
+from wearlog.plans.models import forest_pipeline
 from wearlog.sources.fixtures import events_cycles
-from wearlog.streaming.scoring import unit_stream_features
+from wearlog.streaming.scoring import UnitBuffer, late_totals, latest_scores, start_stream_scoring, unit_buffers
 
 from conftest import SF001
 
 SENSORS = ["sensor_1", "sensor_2"]
+KEYS = ["dataset_id", "unit_id"]
+
+
+def run_stream(spark, batches, tmp_path, model=None):
+    """Each frame is one run of the stream, which goes on from the last one's checkpoint."""
+    out, schema = str(tmp_path / "out"), batches[0].schema
+    for i, rows in enumerate(batches):
+        rows.write.parquet(str(tmp_path / "in" / f"f{i}"))
+        stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in" / "*"))
+        query = start_stream_scoring(
+            unit_buffers(stream, SENSORS, "arrival"), SENSORS, out, model, "m", checkpoint=str(tmp_path / "state"), query_name=f"q{abs(hash(str(tmp_path)))}_{i}", trigger={"availableNow": True},
+        )
+        assert query.awaitTermination(120)
+    return out
+
+
+def same(batch, streamed):
+    cols = batch.columns
+    norm = lambda df: sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in df.select(*cols).collect())
+    got = norm(streamed)
+    assert got == norm(batch) and got
+
+
+def test_replay_out_of_order_equals_batch(spark, tmp_path):
+    fb = events_cycles(spark, SF001).select(*KEYS, "cycle", *SENSORS).withColumn("arrival", F.lit(1))
+    out = run_stream(spark, [fb.where((F.col("cycle") * 7) % 2 == k) for k in (1, 0)], tmp_path)
+    same(latest_row_per_unit(build_rolling_features(fb.drop("arrival"), SENSORS)), latest_scores(spark, out))
+
+
+def test_last_arrival_wins_within_and_across_batches(spark, tmp_path):
+    fb = events_cycles(spark, SF001).select(*KEYS, "cycle", *SENSORS)
+    send = lambda shift, arrival: fb.withColumn("sensor_1", F.col("sensor_1") + shift).withColumn("arrival", F.lit(arrival))
+    recent = F.col("cycle") > 45
+    # the right reading (arrival 3) comes first, older ones after it and beside it
+    batches = [send(0, 3).where("cycle % 2 = 0").unionByName(send(50, 2).where("cycle % 2 = 0")), send(0, 3).where("cycle % 2 = 1").unionByName(send(70, 1).where(recent))]
+    out = run_stream(spark, batches, tmp_path)
+    both = batches[0].unionByName(batches[1])
+    batch = latest_row_per_unit(build_rolling_features(dedupe_keep_last(both, "arrival").drop("arrival"), SENSORS))
+    same(batch, latest_scores(spark, out))
+
+
+def test_late_rows_are_counted_and_left_out(spark, tmp_path):
+    schema = "dataset_id string, unit_id long, cycle int, sensor_1 double, sensor_2 double, arrival long"
+    frame = lambda rows: spark.createDataFrame([(*r, 1) for r in rows], schema)
+    rows = [("FD001", u, c, float(c), float(c % 3)) for u in (1, 2) for c in range(1, 61)]
+    late = [("FD001", 1, 3, 999.0, 999.0), ("FD001", 1, 3, 998.0, 998.0), ("FD001", 1, 30, 1.0, 1.0), ("FD001", 3, 1, 5.0, 5.0), (None, 1, 1, 1.0, 1.0), ("FD001", None, 1, 1.0, 1.0), ("FD001", 2, None, 1.0, 1.0)]
+    out = run_stream(spark, [frame(rows), frame(late)], tmp_path)
+    same(latest_row_per_unit(build_rolling_features(frame(rows).drop("arrival"), SENSORS)), latest_scores(spark, out))
+    assert [tuple(r) for r in late_totals(spark, out).collect()] == [("FD001", 1, 3)]
+
+
+def test_scores_are_the_models(spark, tmp_path):
+    fb = events_cycles(spark, SF001).select(*KEYS, "cycle", *SENSORS)
+    feats = build_rolling_features(fb, SENSORS)
+    names = feature_names(SENSORS, (5, 15, 30), (1, 3, 5))
+    model = forest_pipeline(names, "cycle", num_trees=2, max_depth=3).fit(feats)
+    out = run_stream(spark, [fb.withColumn("arrival", F.lit(1))], tmp_path, model=model)
+    same(model.transform(latest_row_per_unit(feats)).select(*KEYS, "cycle", F.col("prediction").alias("rul")), latest_scores(spark, out))
+
+
+def test_arrival_is_required(spark):
+    with pytest.raises(TypeError):
+        unit_buffers(spark.range(1), SENSORS)
+    with pytest.raises(ValueError):
+        unit_buffers(events_cycles(spark, SF001), SENSORS, "arrival")
+
+
+class Held:
+    """State of one unit without Spark."""
+
+    def __init__(self):
+        self.rows, self.flag, self.timers = {}, [], []
+
+    def getMapState(self, *_):
+        held = self.rows
+
+        class M:
+            iterator = staticmethod(lambda: iter([((k,), v) for k, v in held.items()]))
+            containsKey = staticmethod(lambda k: k[0] in held)
+            removeKey = staticmethod(lambda k: held.pop(k[0]))
+            updateValue = staticmethod(lambda k, v: held.__setitem__(k[0], v))
+            clear = staticmethod(held.clear)
+
+        return M
+
+    def getValueState(self, *_):
+        flag = self.flag
+
+        class V:
+            exists = staticmethod(lambda: bool(flag))
+            update = staticmethod(flag.append)
+            clear = staticmethod(flag.clear)
+
+        return V
+
+    listTimers = lambda self: iter(self.timers)
+    deleteTimer = lambda self, t: self.timers.remove(t)
+    registerTimer = lambda self, t: self.timers.append(t)
+
+
+class Clock:
+    getCurrentProcessingTimeInMs = staticmethod(lambda: 1000)
+
 
+@pytest.mark.parametrize("seed", range(6))
+def test_buffer_is_the_same_for_any_cut_without_late_rows(seed):
+    """The map holds the newest cycles' last arrivals, whatever the micro-batches; it never writes a cycle twice in one."""
+    import numpy as np
+    from pyspark.sql import types as T
 
-def _run_stream(spark, src, schema, tmp_path, arrival_col=None):
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(os.path.join(src, "*"))
-    feats = unit_stream_features(stream, SENSORS, arrival_col=arrival_col)
-    out = str(tmp_path / "out")
-    q = (
-        feats.writeStream.outputMode("update")
-        .foreachBatch(lambda b, i: b.write.mode("overwrite").parquet(f"{out}/batch_id={i}"))
-        .option("checkpointLocation", str(tmp_path / "ckpt"))
-        .start()
-    )
-    q.processAllAvailable()
-    q.stop()
-    res = spark.read.parquet(out)
-    return res.groupBy("dataset_id", "unit_id").agg(F.max_by(F.struct(*res.columns), "batch_id").alias("r")).select("r.*")
-
-
-def _compare(batch_latest, streamed):
-    cols = [c for c in batch_latest.columns if c != "batch_id"]
-    a = sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in batch_latest.select(*cols).collect())
-    b = sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in streamed.select(*cols).collect())
-    assert a == b and len(a) > 0
-
-
-def test_stream_replay_equals_batch_out_of_order(spark, tmp_path):
-    fb = events_cycles(spark, SF001).select("dataset_id", "unit_id", "cycle", *SENSORS)
-    src = str(tmp_path / "in")
-    for k in range(4):  # cycles reach a unit out of order across files
-        fb.where((F.col("cycle") * 7) % 4 == k).write.parquet(os.path.join(src, f"f{k}"))
-    streamed = _run_stream(spark, src, fb.schema, tmp_path)
-    batch = latest_row_per_unit(build_rolling_features(fb, SENSORS))
-    _compare(batch, streamed)
-
-
-def test_stream_last_arrival_wins(spark, tmp_path):
-    fb = events_cycles(spark, SF001).select("dataset_id", "unit_id", "cycle", *SENSORS)
-    src = str(tmp_path / "in")
-    first = fb.withColumn("arrival", F.lit(0))
-    # A later file re-sends the last 3 cycles of every unit with new values.
-    last = fb.groupBy("dataset_id", "unit_id").agg(F.max("cycle").alias("m"))
-    resend = (
-        fb.join(last, ["dataset_id", "unit_id"])
-        .where(F.col("cycle") > F.col("m") - 3)
-        .select("dataset_id", "unit_id", "cycle", (F.col("sensor_1") + 100).alias("sensor_1"), "sensor_2")
-        .withColumn("arrival", F.lit(1))
-    )
-    first.write.parquet(os.path.join(src, "a0"))
-    resend.write.parquet(os.path.join(src, "a1"))
-    streamed = _run_stream(spark, src, first.schema, tmp_path, arrival_col="arrival")
-    both = first.unionByName(resend)
-    batch = latest_row_per_unit(
-        build_rolling_features(dedupe_keep_last(both, "arrival").drop("arrival"), SENSORS)
-    )
-    _compare(batch, streamed)
-
-
-def test_stream_ignores_cycles_older_than_a_full_buffer(spark, tmp_path):
-    rows = [("FD001", 1, c, float(c), float(c % 3)) for c in range(1, 61)]
-    late = [("FD001", 1, 3, 999.0, 999.0)]  # long evicted from the 30-cycle buffer
-    schema = "dataset_id string, unit_id long, cycle int, sensor_1 double, sensor_2 double"
-    src = str(tmp_path / "in")
-    spark.createDataFrame(rows, schema).write.parquet(os.path.join(src, "a0"))
-    spark.createDataFrame(late, schema).write.parquet(os.path.join(src, "a1"))
-    streamed = _run_stream(spark, src, spark.createDataFrame(rows, schema).schema, tmp_path)
-    batch = latest_row_per_unit(build_rolling_features(spark.createDataFrame(rows, schema), SENSORS))
-    _compare(batch, streamed)
+    rng = np.random.default_rng(seed)
+    rows = pd.DataFrame({"cycle": rng.integers(1, 12, 40), "arrival": rng.permutation(40), "s": rng.random(40)})
+    state = Held()
+    buffer = UnitBuffer(["u"], "cycle", "arrival", T.LongType(), ["s"], 30, 5000)
+    buffer.init(state)
+    for cut in np.array_split(rows, int(rng.integers(1, 6))):
+        out = list(buffer.handleInputRows((7,), iter([cut]), Clock))
+        assert sum(len(o) for o in out) == len(state.rows) and (out[0]["u"] == 7).all()
+    want = rows.sort_values("arrival").drop_duplicates("cycle", keep="last")
+    assert {c: v[0] for c, v in state.rows.items()} == dict(zip(want.cycle, want.arrival))
+    assert state.timers == [6000]
+    buffer.handleExpiredTimer((7,), Clock, None)
+    assert not state.rows and not state.flag

@@ -1,12 +1,17 @@
 """Structured Streaming scorer: cycle rows in, a score per updated unit out.
 
-Each unit keeps a bounded buffer of its latest distinct cycles in Spark's
-state store (``applyInPandasWithState``). On every micro-batch the buffer is
-updated (a repeated cycle: last arrival wins; a late cycle older than a full
-buffer's oldest is ignored) and the newest cycle whose features are complete
-is emitted. ``cycle`` is a position, not event time, so there is no
-watermark; idle units expire by processing-time timeout. Per unit the Python
-work is bounded by the buffer (windows <= 30 rows), whatever the stream size.
+Each unit keeps its latest distinct cycles in Spark's state store, as a map state
+with an entry per cycle (``transformWithState``): a micro-batch reads the unit's
+entries once and writes only the cycles it changes. Of rows for one cycle the last
+arrival wins, by ``arrival_col``, wherever micro-batches are cut. The map holds as
+many cycles as a feature row needs; a row older than a full map's oldest cycle
+comes too late to be placed: it is left out and counted, and the counts are rows
+of the output. ``cycle`` is a position, not event time, so there is no watermark;
+units without rows for ``idle_timeout`` are dropped by a processing-time timer.
+
+The state operator moves rows only. Features come from the same batch expressions
+as everywhere else, applied to the emitted maps of each micro-batch
+(:func:`buffer_features`), so there is one copy of the feature rules.
 """
 
 from __future__ import annotations
@@ -16,139 +21,225 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from ..operators.features import check_feature_args, feature_names
-from ..schema import CYCLE, KEYS
+from ..operators.features import build_rolling_features, check_feature_args, feature_names
+from ..operators.latest import latest_row_per_unit
+from ..schema import CYCLE, KEYS, require_columns
 from ..session import scratch_path
 
+WHOLE = "_whole"
+LATE = "_late_rows"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+class UnitBuffer(StatefulProcessor):
+    """The latest ``capacity`` distinct cycles of a unit.
+
+    Emits, for each unit that a micro-batch changes, every cycle it holds, and one
+    row with the number of late rows if there are any.
+    """
+
+    def __init__(self, keys, cycle_col, arrival_col, arrival_type, sensors, capacity, idle_ms):
+        self.keys, self.cycle_col, self.arrival_col = list(keys), cycle_col, arrival_col
+        self.arrival_type, self.sensors, self.capacity, self.idle_ms = arrival_type, list(sensors), capacity, idle_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        entry = T.StructType(
+            [T.StructField("arrival", self.arrival_type), *(T.StructField(s, T.DoubleType()) for s in self.sensors)]
+        )
+        self.cycles = handle.getMapState("cycles", T.StructType([T.StructField("cycle", T.IntegerType())]), entry)
+        self.evicted = handle.getValueState("evicted", T.StructType([T.StructField("evicted", T.BooleanType())]))
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        fresh = pd.concat(list(rows), ignore_index=True)
+        held = {k[0]: tuple(v) for k, v in self.cycles.iterator()}
+        evicted = bool(self.evicted.exists())
+        late = 0
+        if evicted:
+            on_time = fresh[self.cycle_col] >= min(held)
+            late, fresh = int((~on_time).sum()), fresh[on_time]
+        changed = self._newest(fresh, held)
+        held |= changed
+        dropped = sorted(held)[: max(0, len(held) - self.capacity)]
+        for cycle in dropped:
+            del held[cycle]
+            if cycle not in changed or self.cycles.containsKey((cycle,)):
+                self.cycles.removeKey((cycle,))
+        if dropped and not evicted:
+            self.evicted.update((True,))
+        for cycle in changed.keys() & held.keys():
+            self.cycles.updateValue((cycle,), changed[cycle])
+        if self.idle_ms:
+            for timer in list(self.handle.listTimers()):
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.idle_ms)
+        if changed or late:
+            yield self._emit(key, held if changed else {}, evicted or bool(dropped), late)
+
+    def _newest(self, fresh: pd.DataFrame, held: dict) -> dict:
+        """Of the rows, by cycle, those that arrived last and not before the one held."""
+        order = fresh.sort_values([self.cycle_col, self.arrival_col, *self.sensors], kind="stable")
+        last = order.drop_duplicates(self.cycle_col, keep="last")
+        values = last[self.sensors].astype("float64")
+        out = {}
+        for cycle, arrival, row in zip(last[self.cycle_col], last[self.arrival_col], values.itertuples(index=False)):
+            arrival = arrival.item() if hasattr(arrival, "item") else arrival
+            if cycle not in held or arrival >= held[cycle][0]:
+                out[int(cycle)] = (arrival, *(None if np.isnan(v) else float(v) for v in row))
+        return out
+
+    def _emit(self, key, held: dict, evicted: bool, late: int) -> pd.DataFrame:
+        order = sorted(held)
+        more = [None] if late else []
+        out = pd.DataFrame({self.cycle_col: pd.array([*order, *more], dtype="Int32")})
+        for i, sensor in enumerate(self.sensors):
+            out[sensor] = pd.array([*(held[c][1 + i] for c in order), *more], dtype="Float64")
+        # the oldest rows of a map that has dropped some lack history
+        whole = [not evicted or i >= self.capacity - 1 for i in range(len(order))]
+        out[WHOLE] = pd.array([*whole, *more], dtype="boolean")
+        out[LATE] = pd.array([None] * len(order) + [late] * len(more), dtype="Int64")
+        for i, name in enumerate(self.keys):
+            out.insert(i, name, key[i])
+        return out
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.cycles.clear()
+        self.evicted.clear()
+        return iter(())
 
-def _features_at(arr: np.ndarray, i: int, windows, lags) -> list[float] | None:
-    """Features of row ``i`` of a (rows x sensors) buffer, or None when one is
-    missing (the batch operator would drop that row)."""
-    out: list[float] = []
-    for j in range(arr.shape[1]):
-        col = arr[:, j]
-        for n in windows:
-            vals = col[max(0, i - n + 1): i + 1]
-            vals = vals[~np.isnan(vals)]
-            if vals.size == 0:
-                return None
-            out += [float(vals.mean()), float(vals.std(ddof=0))]
-        for lag in lags:
-            if i - lag < 0 or np.isnan(col[i - lag]):
-                return None
-            out.append(float(col[i - lag]))
-    return out
-
-
-def unit_stream_features(
+    def close(self) -> None:
+        pass
+
+
+def history_rows(windows: Sequence[int], lags: Sequence[int]) -> int:
+    """Rows a feature row needs, itself included."""
+    return max(max(windows), max(lags, default=0) + 1)
+
+
+def unit_buffers(
     stream: DataFrame,
     sensors: Sequence[str],
+    arrival_col: str,
     windows: Sequence[int] = (5, 15, 30),
     lags: Sequence[int] = (1, 3, 5),
     keys: Sequence[str] = KEYS,
     cycle_col: str = CYCLE,
-    arrival_col: str | None = None,
     idle_timeout: str | None = None,
 ) -> DataFrame:
-    """Streaming DataFrame of (keys, cycle, features...) in update mode."""
+    """Streaming rows of the units that change: keys, cycle, sensors, ``_whole``, ``_late_rows``.
+
+    Rows without key, cycle or arrival cannot be placed and are left out. Needs the
+    RocksDB state store, which this sets for the session.
+    """
     keys, sensors = list(keys), list(sensors)
     windows, lags = check_feature_args(windows, lags, 1)
-    need = max(max(windows) - 1, max(lags, default=0))  # history rows a feature row needs
-    capacity = need + 1
-    names = feature_names(sensors, windows, lags)
-    key_fields = [f for f in stream.schema.fields if f.name in keys]
-    out_schema = T.StructType(
-        [*key_fields, T.StructField(cycle_col, T.IntegerType()), *[T.StructField(n, T.DoubleType()) for n in names]]
-    )
-    state_schema = T.StructType(
+    require_columns(stream, [*keys, cycle_col, arrival_col, *sensors])
+    stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    idle_ms = int(pd.Timedelta(idle_timeout).total_seconds() * 1000) if idle_timeout else None
+    fields = {f.name: f for f in stream.schema.fields}
+    out = T.StructType(
         [
-            T.StructField("cycles", T.ArrayType(T.IntegerType())),
-            T.StructField("rows", T.ArrayType(T.ArrayType(T.DoubleType()))),
-            T.StructField("evicted", T.BooleanType()),
+            *(T.StructField(k, fields[k].dataType) for k in keys),
+            T.StructField(cycle_col, T.IntegerType()),
+            *(T.StructField(s, T.DoubleType()) for s in sensors),
+            T.StructField(WHOLE, T.BooleanType()),
+            T.StructField(LATE, T.LongType()),
         ]
     )
-    timeout_ms = None
-    if idle_timeout:
-        timeout_ms = int(pd.Timedelta(idle_timeout).total_seconds() * 1000)
-
-    def step(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        if state.exists:
-            cycles, rows, evicted = state.get
-            buf = {int(c): list(r) for c, r in zip(cycles, rows)}
-        else:
-            buf, evicted = {}, False
-        for pdf in batches:
-            if arrival_col:
-                pdf = pdf.sort_values(arrival_col, kind="stable")
-            vals = pdf[sensors].to_numpy(dtype="float64", na_value=np.nan)
-            for cyc, row in zip(pdf[cycle_col].to_numpy(), vals):
-                cyc = int(cyc)
-                if evicted and len(buf) >= capacity and cyc < min(buf) and cyc not in buf:
-                    continue  # older than everything the buffer can still place
-                buf[cyc] = row.tolist()
-                if len(buf) > capacity:
-                    del buf[min(buf)]
-                    evicted = True
-        order = sorted(buf)
-        arr = np.array([buf[c] for c in order], dtype="float64").reshape(len(order), len(sensors))
-        emitted = None
-        for i in range(len(order) - 1, -1, -1):
-            if evicted and i < need:
-                break  # this row's history left the buffer
-            feats = _features_at(arr, i, windows, lags)
-            if feats is not None:
-                emitted = (order[i], feats)
-                break
-        state.update((order, [buf[c] for c in order], evicted))
-        if timeout_ms:
-            state.setTimeoutDuration(timeout_ms)
-        if emitted is not None:
-            yield pd.DataFrame([[*key, emitted[0], *emitted[1]]], columns=[*keys, cycle_col, *names])
-
-    timeout = GroupStateTimeout.ProcessingTimeTimeout if timeout_ms else GroupStateTimeout.NoTimeout
-    cols = [*keys, cycle_col, *sensors] + ([arrival_col] if arrival_col else [])
-    return stream.select(*cols).groupBy(*keys).applyInPandasWithState(
-        step, out_schema, state_schema, "update", timeout
+    rows = stream.select(
+        *keys, F.col(cycle_col).cast("int").alias(cycle_col), arrival_col, *(F.col(s).cast("double").alias(s) for s in sensors)
+    ).dropna(subset=[*keys, cycle_col, arrival_col])
+    processor = UnitBuffer(
+        keys, cycle_col, arrival_col, fields[arrival_col].dataType, sensors, history_rows(windows, lags), idle_ms
+    )
+    return rows.groupBy(*keys).transformWithStateInPandas(
+        statefulProcessor=processor,
+        outputStructType=out,
+        outputMode="Update",
+        timeMode="ProcessingTime" if idle_ms else "None",
     )
 
 
+def buffer_features(
+    buffers: DataFrame,
+    sensors: Sequence[str],
+    windows: Sequence[int] = (5, 15, 30),
+    lags: Sequence[int] = (1, 3, 5),
+    keys: Sequence[str] = KEYS,
+    cycle_col: str = CYCLE,
+) -> DataFrame:
+    """The newest complete feature row of each unit in a micro-batch of :func:`unit_buffers`."""
+    rows = buffers.where(F.col(LATE).isNull()).drop(LATE)
+    # a unit has at most a buffer of rows here, so none is hot
+    feats = build_rolling_features(rows, sensors, windows, lags, keys, cycle_col, hot_rows=None)
+    return latest_row_per_unit(feats.where(WHOLE).drop(WHOLE), keys=keys, cycle_col=cycle_col)
+
+
+def late_counts(buffers: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+    """Late rows of each unit in a micro-batch of :func:`unit_buffers`."""
+    return buffers.where(F.col(LATE).isNotNull()).groupBy(*keys).agg(F.sum(LATE).alias("late_rows"))
+
+
 def start_stream_scoring(
-    features: DataFrame,
-    model: PipelineModel,
-    model_name: str,
+    buffers: DataFrame,
+    sensors: Sequence[str],
     output_path: str,
+    model: PipelineModel | None = None,
+    model_name: str = "",
+    windows: Sequence[int] = (5, 15, 30),
+    lags: Sequence[int] = (1, 3, 5),
+    keys: Sequence[str] = KEYS,
+    cycle_col: str = CYCLE,
     query_name: str = "unit_scores",
     checkpoint: str | None = None,
     trigger: dict | None = None,
 ):
-    """Score each micro-batch of feature rows with ``model`` and write it to
-    ``output_path/batch_id=N`` (a re-run of a batch overwrites its own folder,
-    so the sink is idempotent). State and progress live under the shared
-    checkpoint folder."""
-    spark = features.sparkSession
-    checkpoint = checkpoint or scratch_path(spark, "streams", query_name)
-    inputs = list(model.stages[0].getInputCols())
+    """Write each micro-batch's scores (without ``model``: its feature rows) under
+    ``output_path/scores/batch_id=N`` and its late counts under ``output_path/late/batch_id=N``.
+
+    A re-run of a batch overwrites its own folders, so the sink is idempotent.
+    State and progress live under the shared checkpoint folder."""
+    checkpoint = checkpoint or scratch_path(buffers.sparkSession, "streams", query_name)
+    names = feature_names(sensors, windows, lags)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        scored = model.transform(batch)
-        out = scored.select(
-            *[c for c in batch.columns if c not in inputs],
-            F.lit(model_name).alias("model"),
-            F.col("prediction").alias("rul"),
-        )
-        out.write.mode("overwrite").parquet(f"{output_path}/batch_id={batch_id}")
+        batch = batch.persist()
+        try:
+            rows = buffer_features(batch, sensors, windows, lags, keys, cycle_col)
+            if model is not None:
+                rows = model.transform(rows).select(
+                    *(c for c in rows.columns if c not in names),
+                    F.lit(model_name).alias("model"),
+                    F.col("prediction").alias("rul"),
+                )
+            rows.write.mode("overwrite").parquet(f"{output_path}/scores/batch_id={batch_id}")
+            late_counts(batch, keys).write.mode("overwrite").parquet(f"{output_path}/late/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
 
-    writer = features.writeStream.outputMode("update").foreachBatch(write_batch).option(
-        "checkpointLocation", checkpoint
-    ).queryName(query_name)
+    writer = (
+        buffers.writeStream.outputMode("update")
+        .foreachBatch(write_batch)
+        .option("checkpointLocation", checkpoint)
+        .queryName(query_name)
+    )
     if trigger:
         writer = writer.trigger(**trigger)
     return writer.start()
+
+
+def latest_scores(spark: SparkSession, output_path: str, keys: Sequence[str] = KEYS) -> DataFrame:
+    """Each unit's row of the last micro-batch that wrote one."""
+    rows = spark.read.parquet(f"{output_path}/scores")
+    cols = [c for c in rows.columns if c not in (*keys, "batch_id")]
+    return rows.groupBy(*keys).agg(F.max_by(F.struct(*cols), "batch_id").alias("r")).select(*keys, "r.*")
+
+
+def late_totals(spark: SparkSession, output_path: str, keys: Sequence[str] = KEYS) -> DataFrame:
+    """Each unit's late rows over all micro-batches."""
+    return spark.read.parquet(f"{output_path}/late").groupBy(*keys).agg(F.sum("late_rows").alias("late_rows"))
