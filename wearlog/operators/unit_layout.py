@@ -11,8 +11,10 @@ shuffle, the cheapest plan). A hot unit is cut into *parts* of at most
 ``halo`` rows that precede it in cycle order. A window with
 ``rowsBetween(-halo, 0)`` evaluated per part therefore sees the same rows as
 one evaluated over the whole unit; the halo rows are dropped afterwards.
-Windows use ``partitionBy(*keys, PART).orderBy(cycle, PRE_POS)``; positions
-and last cycles come from :func:`position` and :func:`unit_last`.
+Windows use ``partitionBy(*keys, PART).orderBy(cycle, PRE_POS, *ties)``; positions
+and last cycles come from :func:`position` and :func:`unit_last`. ``ties`` are the
+unit's other columns: rows that share a cycle are ordered by their values, so which
+path lays a unit out never shows in a result.
 
 Hot units are laid out with one of two strategies, chosen from a small
 pre-aggregated *bucket index* (one row per unit and bucket of ``width`` cycle
@@ -22,8 +24,8 @@ values):
   contract). Parts are cycle buckets, the halo is a cycle-value range, the
   position is ``cycle - min_cycle + 1``. One shuffle of the data.
 * ``general`` - any unit has gaps or repeated cycles. Positions are computed
-  exactly (bucket offsets from the index + ``row_number`` inside a bucket),
-  then parts are cut by position. Two shuffles of the data.
+  exactly by :func:`with_ordinals` (range partitions split even the rows of one
+  cycle), then parts are cut by position. Two shuffles of the data.
 
 For hot units, unit-level facts (row count, first and last cycle) travel
 with the index, so their rows are never joined on the unit key alone.
@@ -37,6 +39,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schema import CYCLE, KEYS
+from ..session import materialize
 
 PART = "_part"
 HALO = "_halo"
@@ -114,6 +117,41 @@ def hot_units(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
     return counts.where(F.col("_n") > hot_rows).select(*keys)
 
 
+def tie_columns(df: DataFrame, keys: Sequence[str], order_col: str, first: Sequence[str] = ()) -> list[str]:
+    """The columns that order rows of one unit and cycle: ``first``, then all others that Spark can sort by."""
+    sortable = [c for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
+    rest = [c for c in sortable if c not in (*keys, order_col, *first, *HELPER_COLUMNS)]
+    return [*first, *rest]
+
+
+def with_ordinals(
+    df: DataFrame, order_cols: Sequence[str], keys: Sequence[str] = (), out: str = "_ordinal"
+) -> DataFrame:
+    """Exact 0-based ordinals in ``order_cols`` order (per key), whatever one key or one
+    order value holds.
+
+    Rows are dealt out by ranges of (key, order) and written once; a row's place in
+    its partition comes with the write, and the rows of its key in earlier
+    partitions are a prefix sum over one row per key and partition. Only rows equal
+    in all these columns must share a partition, and those are interchangeable.
+    """
+    keys, by = list(keys), [*keys, *order_cols]
+    dealt = df.repartitionByRange(*by).sortWithinPartitions(*by)
+    return table_ordinals(dealt, out, keys)
+
+
+def table_ordinals(df: DataFrame, out: str = "_ordinal", keys: Sequence[str] = ()) -> DataFrame:
+    """Exact 0-based ordinals in the order the table has (per key, whose rows must lie together)."""
+    keys = list(keys)
+    rows = materialize(df.withColumn("_at", F.monotonically_increasing_id()), "ordinals")
+    rows = rows.withColumn("_run", F.shiftright("_at", 33))
+    runs = rows.groupBy(*keys, "_run").agg(F.min("_at").alias("_from"), F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*keys).orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.select(*keys, "_run", "_from", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    placed = rows.join(runs, [*keys, "_run"])
+    return placed.select(*df.columns, (F.col("_before") + F.col("_at") - F.col("_from")).alias(out))
+
+
 def unit_layout(
     df: DataFrame,
     halo: int,
@@ -122,6 +160,7 @@ def unit_layout(
     width: int = DEFAULT_WIDTH,
     strategy: str = "auto",
     hot_rows: int | None = HOT_ROWS,
+    ties: Sequence[str] | None = None,
 ) -> DataFrame:
     """Rows of ``df`` plus ``_part``, ``_halo`` and the hot-unit helpers.
 
@@ -134,8 +173,11 @@ def unit_layout(
     (every unit split with that method; for tests and known layouts).
     ``hot_rows=None`` skips the hot-unit count job: for callers that know
     every unit is small (one window partition per unit, no check).
+    ``ties`` order rows of one cycle (:func:`tie_columns` if not given); windows
+    over the result must use the same.
     """
     keys = list(keys)
+    ties = tie_columns(df, keys, order_col) if ties is None else list(ties)
     if halo < 0:
         raise ValueError("halo must be >= 0")
     if width <= halo:
@@ -149,7 +191,7 @@ def unit_layout(
         df = df.where(F.col(k).isNotNull())
     cols = df.columns
     if strategy != "auto":
-        return _chunked(df, halo, keys, order_col, width, strategy)
+        return _chunked(df, halo, keys, order_col, width, strategy, ties)
     normal = df.select(
         *cols,
         F.lit(0).cast("long").alias(PART),
@@ -162,21 +204,23 @@ def unit_layout(
     hot = hot_units(df, keys, hot_rows)
     if hot.limit(1).count() == 0:  # one aggregate job; the usual outcome
         return normal
-    hot_b = F.broadcast(hot)
-    normal = normal.join(hot_b, keys, "left_anti")
-    split = _chunked(df.join(hot_b, keys, "left_semi"), halo, keys, order_col, width, "chunked")
+    normal = normal.join(hot, keys, "left_anti")
+    split = _chunked(df.join(hot, keys, "left_semi"), halo, keys, order_col, width, "chunked", ties)
     return normal.unionByName(split)
 
 
-def _chunked(df, halo, keys, order_col, width, strategy):
+def _chunked(df, halo, keys, order_col, width, strategy, ties):
     index = bucket_index(df, keys, order_col, width)
     if strategy == "chunked":
         strategy = "dense" if all_units_dense(index) else "general"
-    laid = (_dense_layout if strategy == "dense" else _general_layout)(df, index, halo, keys, order_col, width)
+    if strategy == "dense":
+        laid = _dense_layout(df, index, halo, keys, order_col, width)
+    else:
+        laid = _general_layout(df, index, halo, keys, order_col, width, ties)
     return laid.select(*df.columns, PART, HALO, F.col(POS).alias(PRE_POS), F.col(UNIT_MAX).alias(PRE_MAX))
 
 
-def _targets(bucket: Column, in_tail: Column) -> Column:
+def targets(bucket: Column, in_tail: Column) -> Column:
     own = F.struct(bucket.alias("p"), F.lit(False).alias("h"))
     nxt = F.struct((bucket + 1).alias("p"), F.lit(True).alias("h"))
     return F.when(in_tail, F.array(own, nxt)).otherwise(F.array(own))
@@ -186,7 +230,7 @@ def _dense_layout(df, index, halo, keys, order_col, width):
     bucket = bucket_of(order_col, width)
     # The last `halo` cycle values of a bucket are also copied to the next one.
     in_tail = F.col(order_col) >= (bucket + 1) * width - halo if halo else F.lit(False)
-    placed = df.select(*df.columns, F.explode(_targets(bucket, in_tail)).alias("_t")).select(
+    placed = df.select(*df.columns, F.explode(targets(bucket, in_tail)).alias("_t")).select(
         *df.columns, F.col("_t.p").alias(_BUCKET), F.col("_t.h").alias(HALO)
     )
     idx = index.select(*keys, _BUCKET, UNIT_ROWS, UNIT_MIN, UNIT_MAX)
@@ -197,38 +241,33 @@ def _dense_layout(df, index, halo, keys, order_col, width):
     )
 
 
-def _general_layout(df, index, halo, keys, order_col, width):
-    idx = index.select(*keys, _BUCKET, _OFFSET, UNIT_ROWS, UNIT_MIN, UNIT_MAX)
-    located = df.withColumn(_BUCKET, bucket_of(order_col, width)).join(idx, [*keys, _BUCKET])
-    in_bucket = Window.partitionBy(*keys, _BUCKET).orderBy(order_col)
-    positioned = located.withColumn(POS, F.col(_OFFSET) + F.row_number().over(in_bucket)).drop(
-        _BUCKET, _OFFSET
-    )
+def _general_layout(df, index, halo, keys, order_col, width, ties):
+    facts = index.select(*keys, UNIT_ROWS, UNIT_MIN, UNIT_MAX).distinct()
+    placed = with_ordinals(df, [order_col, *ties], keys, POS).withColumn(POS, F.col(POS) + 1)
+    positioned = placed.join(facts, keys)
     part = F.floor((F.col(POS) - 1) / F.lit(width)).cast("long")
     in_tail = ((F.col(POS) - 1) % width) >= (width - halo) if halo else F.lit(False)
     cols = positioned.columns
-    return positioned.select(*cols, F.explode(_targets(part, in_tail)).alias("_t")).select(
+    return positioned.select(*cols, F.explode(targets(part, in_tail)).alias("_t")).select(
         *cols, F.col("_t.p").alias(PART), F.col("_t.h").alias(HALO)
     )
 
 
-def part_window(keys: Sequence[str] = KEYS, order_col: str = CYCLE) -> Window:
+def part_window(keys: Sequence[str] = KEYS, order_col: str = CYCLE, ties: Sequence[str] = ()) -> Window:
     """Window spec for sequential work on a :func:`unit_layout` frame."""
-    return Window.partitionBy(*keys, PART).orderBy(order_col, PRE_POS)
+    return Window.partitionBy(*keys, PART).orderBy(order_col, PRE_POS, *ties)
 
 
-def position(keys: Sequence[str] = KEYS, order_col: str = CYCLE) -> Column:
+def position(keys: Sequence[str] = KEYS, order_col: str = CYCLE, ties: Sequence[str] = ()) -> Column:
     """1-based position of a row in its unit's cycle order."""
-    return F.coalesce(
-        F.col(PRE_POS), F.row_number().over(part_window(keys, order_col)).cast("long")
-    )
+    return F.coalesce(F.col(PRE_POS), F.row_number().over(part_window(keys, order_col, ties)).cast("long"))
 
 
-def unit_last(keys: Sequence[str] = KEYS, order_col: str = CYCLE) -> Column:
+def unit_last(keys: Sequence[str] = KEYS, order_col: str = CYCLE, ties: Sequence[str] = ()) -> Column:
     """Last cycle of the row's unit. Uses the same partitioning and order as
     the feature windows (full frame), so it shares their Window node and
     sort instead of adding one."""
-    whole = part_window(keys, order_col).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    whole = part_window(keys, order_col, ties).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return F.coalesce(F.col(PRE_MAX), F.max(order_col).over(whole))
 
 
