@@ -16,18 +16,19 @@ from pyspark.sql import functions as F
 
 from .functions.ids import dataset_ids_col, fd_id_col
 from .operators.features import build_labeled_features, build_rolling_features, feature_names
-from .operators.fingerprint import dataframe_fingerprint
-from .operators.labels import add_rul_targets, add_test_rul_targets, missing_truth_units
+from .operators.fingerprint import BASE, PRIME, dataframe_fingerprint
+from .operators.labels import add_rul_targets, add_test_rul_targets, missing_truth_units, unplaced_rows
 from .operators.latest import dedupe_keep_last, latest_row_per_unit, unit_trajectory
-from .operators.metrics import metric_bounds, regression_metrics
+from .operators.metrics import metric_bounds, metric_exprs, pair_by_position, regression_metrics
 from .operators.sensors import (
     compute_sensor_summary,
     kept_sensor_frame,
     known_dropped_intersection,
     suggest_low_variance_sensors,
 )
-from .operators.sequences import create_sequence_dataset
+from .operators.sequences import create_sequence_dataset, pack_sequences
 from .operators.split import apply_split, split_counts, split_units
+from .schema import DROPPED_SENSORS, SENSOR_COLUMNS
 from .sources.fixtures import cached_frame, supplier_truth
 
 SENSORS4 = ["sensor_1", "sensor_2", "sensor_3", "sensor_4"]
@@ -283,6 +284,55 @@ def q_fingerprint(spark, sf_dir):
     return dataframe_fingerprint(lab, ["dataset_id", "unit_id", "cycle", "rul"])
 
 
+def q_fingerprint_ordered(spark, sf_dir):
+    lab = add_rul_targets(_fa(spark, sf_dir), cap=125)
+    return dataframe_fingerprint(lab, ["dataset_id", "unit_id", "cycle", "rul"], order_by=["cycle", "dataset_id", "unit_id"])
+
+
+def q_paired_metrics(spark, sf_dir):
+    """Labels and predictions without a key, paired by their places in two orders."""
+    pred = _predictions(spark, sf_dir)
+    labels = pred.select("rul", *KEYS, "cycle")
+    values = pred.select("prediction", F.col("cycle").alias("c"), F.col("unit_id").alias("u"), F.col("dataset_id").alias("d"))
+    pairs = pair_by_position(labels, values, label_order=[*KEYS, "cycle"], prediction_order=["c", "u", "d"])
+    m = pairs.agg(F.count(F.lit(1)).alias("pairs"), *metric_exprs("rul", "prediction"))
+    return m.select("pairs", _r("rmse", 8), _r("mae", 8), _r("nasa_score", 2))
+
+
+def _uneven(spark, sf_dir) -> DataFrame:
+    """Lineitem cycles with repeats (three readings to a cycle number) and gaps."""
+    fa = _fa(spark, sf_dir).select(*KEYS, "cycle", *SENSORS4).where(F.col("cycle") % 11 != 4)
+    return fa.withColumn("cycle", (F.col("cycle") - F.col("cycle") % 3).cast("int"))
+
+
+def q_rolling_features_split(spark, sf_dir):
+    """Repeated and missing cycles with every unit laid out in parts of 64 rows."""
+    feats = build_rolling_features(
+        _uneven(spark, sf_dir), SENSORS4, windows=(5, 15), lags=(1, 3), drop_na=False, include_original_sensors=True, width=64, hot_rows=20
+    )
+    return feats.select(*KEYS, "cycle", *SENSORS4, *[_r(c, 6) for c in feature_names(SENSORS4, (5, 15), (1, 3))])
+
+
+def q_sequence_windows_split(spark, sf_dir):
+    lab = add_rul_targets(_uneven(spark, sf_dir), cap=125)
+    seq = create_sequence_dataset(lab, ["sensor_1", "sensor_3", "sensor_4"], sequence_length=10, stride=3, width=64, hot_rows=20)
+    return seq.select(*KEYS, "cycle", "rul", F.round(sequence_checksum(F.col("x")), 4).alias("checksum"))
+
+
+def q_unplaced_rows(spark, sf_dir):
+    """Rows that labels refuse: no unit (every 13th cycle here) or no cycle (every 17th)."""
+    fa = _fa(spark, sf_dir).select(*KEYS, "cycle", "sensor_1", F.col("cycle").alias("at"), F.col("unit_id").alias("unit"))
+    holes = fa.withColumns({"unit_id": F.when(F.col("at") % 13 != 0, F.col("unit_id")), "cycle": F.when(F.col("at") % 17 != 0, F.col("cycle"))})
+    return unplaced_rows(holes).select("dataset_id", "unit", "at", "problem")
+
+
+def q_packed_sequences(spark, sf_dir):
+    """Packed pieces of units: rows stored, of them again for the next piece's first windows, and windows that start there."""
+    packed = pack_sequences(_labeled(spark, sf_dir), SENSORS4, sequence_length=30, stride=7, piece_rows=64)
+    sums = packed.groupBy(*KEYS).agg(F.sum(F.size("x")).cast("long").alias("stored"), F.sum(F.size("starts")).cast("long").alias("windows"))
+    return sums.select(*KEYS, "stored", "windows")
+
+
 def q_latest_row_per_unit(spark, sf_dir):
     fa = _fa(spark, sf_dir).select(*KEYS, "cycle", *SENSORS4)
     return latest_row_per_unit(fa)
@@ -437,9 +487,6 @@ def fixture_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grouped.select(rid.alias("request_id"), body.alias("body"))
 
 
-REQUEST_SENSORS = ["sensor_2", "sensor_3", "sensor_4"]
-
-
 def q_request_rejects(spark, sf_dir):
     from .plans.scoring import request_features
 
@@ -450,8 +497,7 @@ def q_request_rejects(spark, sf_dir):
 def q_request_latest_features(spark, sf_dir):
     from .plans.scoring import request_features
 
-    names = feature_names(REQUEST_SENSORS, (5, 15, 30), (1, 3, 5))
-    latest, _, _ = request_features(fixture_requests(spark, sf_dir), keep=names)
+    latest, _, names = request_features(fixture_requests(spark, sf_dir))
     return latest.select("request_id", "unit_id", "cycle", *[_r(c, 6) for c in names])
 
 
@@ -466,6 +512,13 @@ def _bench_config(**kw):
     return BenchmarkConfig(**base)
 
 
+def q_benchmark_counts(spark, sf_dir):
+    """Units, rows and sequence samples on both sides of each fleet's split, as the summary reports them."""
+    from .plans.benchmark import BenchmarkConfig, prepare_training_inputs, split_sizes
+
+    return split_sizes(prepare_training_inputs(_fa(spark, sf_dir), BenchmarkConfig(include_sequence_model=True)))
+
+
 def q_rf_validation_metrics(spark, sf_dir):
     from .plans.benchmark import run_benchmark_on_frame
 
@@ -521,16 +574,17 @@ def q_sequence_regressor_history(spark, sf_dir):
 
 
 def _scoring_model(spark, sf_dir):
-    """Forest trained on the lineitem fleets; its own feature list (the
-    sensors that carry signal) is what the scorer aligns requests to."""
+    """Forest of the lineitem fleets over all features that a request gives (sensors the
+    fleets lack are sent as 0, and are 0 here)."""
     from .operators.features import build_labeled_features
     from .plans.models import forest_pipeline
     from .session import materialize
 
-    names = feature_names(REQUEST_SENSORS, (5, 15, 30), (1, 3, 5))
-    train = materialize(
-        build_labeled_features(_fa(spark, sf_dir), REQUEST_SENSORS).select("rul", *names), "scoring-train"
-    )
+    fa = _fa(spark, sf_dir)
+    sensors = [c for c in SENSOR_COLUMNS if c not in DROPPED_SENSORS]
+    sent = fa.withColumns({c: F.lit(0.0) for c in sensors if c not in fa.columns})
+    names = feature_names(sensors, (5, 15, 30), (1, 3, 5))
+    train = materialize(build_labeled_features(sent, sensors).select("rul", *names), "scoring-train")
     return forest_pipeline(names, "rul", 42, num_trees=10, max_depth=6).fit(train)
 
 
@@ -560,39 +614,75 @@ def q_test_set_metrics(spark, sf_dir):
     return out
 
 
-def q_stream_scores(spark, sf_dir):
-    """Replay the events fleet as a file stream (4 files, cycles out of
-    order) through the stateful scorer; returns each unit's last score."""
+STREAM_SENSORS = ["sensor_1", "sensor_2"]
+
+
+def stream_arrivals(spark, sf_dir) -> DataFrame:
+    """The events fleet as it arrives (``arrival`` 1, 2, 3): half of the cycles first, of
+    these every tenth with a wrong reading; then the other half and the readings set
+    right; last, every seventh cycle of a unit again, changed, most of them too late."""
+    fb = _fb(spark, sf_dir).select(*KEYS, "cycle", *STREAM_SENSORS)
+    early, wrong = (F.col("cycle") * 7) % 4 < 2, F.col("cycle") % 10 == 3
+    first = fb.where(early).withColumn("sensor_1", F.col("sensor_1") + F.when(wrong, 1000.0).otherwise(0.0))
+    second = fb.where(~early | wrong)
+    third = fb.where(F.col("cycle") % 7 == 0).withColumn("sensor_1", F.col("sensor_1") + 500.0)
+    parts = [p.withColumn("arrival", F.lit(i + 1)) for i, p in enumerate((first, second, third))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+_REPLAYED: dict[tuple, str] = {}
+
+
+def replayed_stream(spark, sf_dir, model=None) -> str:
+    """Folder of the scorer's output after the arrivals came in three runs of one stream
+    (each run stops and the next goes on from its checkpoint)."""
     import os
     import uuid
 
+    from .session import materialize, scratch_path
+    from .streaming.scoring import start_stream_scoring, unit_buffers
+
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), model is not None)
+    if key not in _REPLAYED:
+        root = scratch_path(spark, "stream-demo", uuid.uuid4().hex[:12])
+        rows = materialize(stream_arrivals(spark, sf_dir), "arrivals")
+        for arrival in (1, 2, 3):
+            rows.where(F.col("arrival") == arrival).write.parquet(f"{root}/in/{arrival}")
+            stream = spark.readStream.schema(rows.schema).parquet(f"{root}/in/*")
+            buffers = unit_buffers(stream, STREAM_SENSORS, "arrival")
+            query = start_stream_scoring(
+                buffers, STREAM_SENSORS, f"{root}/out", model, "events_forest",
+                query_name=f"scores_{uuid.uuid4().hex[:8]}", checkpoint=f"{root}/state", trigger={"availableNow": True},
+            )
+            query.awaitTermination()
+        _REPLAYED[key] = f"{root}/out"
+    return _REPLAYED[key]
+
+
+def q_stream_features(spark, sf_dir):
+    """Each unit's last feature row after the whole stream."""
+    from .streaming.scoring import latest_scores
+
+    names = feature_names(STREAM_SENSORS, (5, 15, 30), (1, 3, 5))
+    return latest_scores(spark, replayed_stream(spark, sf_dir)).select(*KEYS, "cycle", *[_r(c, 6) for c in names])
+
+
+def q_stream_late_rows(spark, sf_dir):
+    from .streaming.scoring import late_totals
+
+    return late_totals(spark, replayed_stream(spark, sf_dir))
+
+
+def q_stream_scores(spark, sf_dir):
+    """Each unit's last score after the whole stream."""
     from .operators.features import build_labeled_features
     from .plans.models import forest_pipeline
-    from .session import scratch_path
-    from .streaming.scoring import start_stream_scoring, unit_stream_features
+    from .streaming.scoring import latest_scores
 
     fb = _fb(spark, sf_dir)
-    sensors = ["sensor_1", "sensor_2"]
-    root = scratch_path(spark, "stream-demo", uuid.uuid4().hex[:12])
-    src = os.path.join(root, "in")
-    # Four arrival files; file k holds cycles with (cycle * 7) % 4 == k, so
-    # units receive their cycles out of order across micro-batches.
-    for k in range(4):
-        fb.where((F.col("cycle") * 7) % 4 == k).write.mode("overwrite").parquet(os.path.join(src, f"f{k}"))
-    names = feature_names(sensors, (5, 15, 30), (1, 3, 5))
-    model = forest_pipeline(names, "rul", 42, num_trees=10, max_depth=6).fit(build_labeled_features(fb, sensors))
-    stream = spark.readStream.schema(fb.schema).option("maxFilesPerTrigger", 1).parquet(os.path.join(src, "*"))
-    feats = unit_stream_features(stream, sensors)
-    out = os.path.join(root, "out")
-    q = start_stream_scoring(feats, model, "events_forest", out, query_name=f"scores_{uuid.uuid4().hex[:8]}")
-    try:
-        q.processAllAvailable()
-    finally:
-        q.stop()
-    scored = spark.read.parquet(out)
-    return scored.groupBy(*KEYS).agg(F.max_by(F.struct("cycle", "rul", "batch_id"), "batch_id").alias("s")).select(
-        *KEYS, "s.cycle", "s.rul"
-    )
+    names = feature_names(STREAM_SENSORS, (5, 15, 30), (1, 3, 5))
+    model = forest_pipeline(names, "rul", 42, num_trees=10, max_depth=6).fit(build_labeled_features(fb, STREAM_SENSORS))
+    return latest_scores(spark, replayed_stream(spark, sf_dir, model)).select(*KEYS, "cycle", "rul")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -624,6 +714,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "metric_bounds": q_metric_bounds,
     "model_comparison": q_model_comparison,
     "fingerprint": q_fingerprint,
+    "fingerprint_ordered": q_fingerprint_ordered,
+    "paired_metrics": q_paired_metrics,
+    "rolling_features_split": q_rolling_features_split,
+    "sequence_windows_split": q_sequence_windows_split,
+    "packed_sequences": q_packed_sequences,
+    "unplaced_rows": q_unplaced_rows,
+    "stream_features": q_stream_features,
+    "stream_late_rows": q_stream_late_rows,
+    "benchmark_counts": q_benchmark_counts,
     "latest_row_per_unit": q_latest_row_per_unit,
     "dedupe_keep_last": q_dedupe_keep_last,
     "unit_trajectory": q_unit_trajectory,
@@ -880,6 +979,64 @@ a AS (SELECT count(*) AS rows, CAST(sum(CAST(h AS HUGEINT)) AS VARCHAR) AS diges
 SELECT rows, digest_sum, digest_xor,
        sha256(concat_ws(':', digest_sum, CAST(digest_xor AS VARCHAR), CAST(rows AS VARCHAR))) AS fingerprint
 FROM a"""
+    q["fingerprint_ordered"] = f"""WITH {_FA}, {_LAB},
+d AS (SELECT cycle, dataset_id, unit_id, CAST(('0x' || substr(md5(concat_ws('|', {digest_parts})), 1, 15)) AS BIGINT) AS h FROM lab),
+l AS (SELECT list(CAST(h AS HUGEINT) ORDER BY cycle DESC, dataset_id DESC, unit_id DESC, h DESC) AS hs, count(*) AS rows FROM d),
+f AS (SELECT rows, CAST(list_reduce(list_concat([CAST(0 AS HUGEINT)], hs), lambda a, h: (a * {BASE} + h) % {PRIME}) AS BIGINT) AS digest_fold FROM l)
+SELECT rows, digest_fold, sha256(concat_ws(':', CAST(digest_fold AS VARCHAR), CAST(rows AS VARCHAR))) AS fingerprint FROM f"""
+    q["paired_metrics"] = f"""WITH {_FA}, {_LAB}, {_PRED},
+a AS (SELECT rul FROM pred ORDER BY dataset_id, unit_id, cycle, rul),
+b AS (SELECT prediction FROM pred ORDER BY cycle, unit_id, dataset_id, prediction),
+m AS (SELECT count(*) AS pairs, {_METRICS} FROM a POSITIONAL JOIN b)
+SELECT pairs, round(rmse, 8) AS rmse, round(mae, 8) AS mae, round(nasa_score, 2) AS nasa_score FROM m"""
+    uneven = f"""{_FA},
+uneven AS (SELECT dataset_id, unit_id, CAST(cycle - cycle % 3 AS INTEGER) AS cycle, sensor_1, sensor_2, sensor_3, sensor_4
+  FROM fa WHERE cycle % 11 <> 4)"""
+    tied = _W + ", sensor_1, sensor_2, sensor_3, sensor_4"
+    q["rolling_features_split"] = f"""WITH {uneven}
+SELECT dataset_id, unit_id, cycle, {", ".join(s4)},
+  {_feature_select(s4, (5, 15), (1, 3)).replace(_W, tied)}
+FROM uneven"""
+    q["sequence_windows_split"] = f"""WITH {uneven},
+l AS (SELECT *, CAST(least(max(cycle) OVER (PARTITION BY dataset_id, unit_id) - cycle, 125) AS INTEGER) AS rul FROM uneven),
+r AS (SELECT *, row_number() OVER ({_W}, sensor_1, sensor_3, sensor_4, rul) AS rn, {seq_w} AS w FROM l),
+f AS (SELECT *, sum(rn * w) OVER seq - (rn - 10) * sum(w) OVER seq AS checksum FROM r
+  WINDOW seq AS (PARTITION BY dataset_id, unit_id ORDER BY rn ROWS BETWEEN 9 PRECEDING AND CURRENT ROW))
+SELECT dataset_id, unit_id, cycle, CAST(rul AS REAL) AS rul, round(checksum, 4) AS checksum FROM f WHERE rn >= 10 AND (rn - 10) % 3 = 0"""
+    q["packed_sequences"] = f"""WITH {_FA},
+p AS (SELECT dataset_id, unit_id, row_number() OVER ({_W}) AS rn, count(*) OVER (PARTITION BY dataset_id, unit_id) AS n FROM fa),
+e AS (SELECT dataset_id, unit_id, any_value(n) AS n, (rn - 1) // 64 AS piece,
+    count(*) + CASE WHEN (rn - 1) // 64 > 0 THEN 29 ELSE 0 END AS stored,
+    count(*) FILTER (rn >= 30 AND (rn - 30) % 7 = 0) AS windows
+  FROM p GROUP BY dataset_id, unit_id, (rn - 1) // 64)
+SELECT dataset_id, unit_id, CAST(sum(stored) AS BIGINT) AS stored, CAST(sum(windows) AS BIGINT) AS windows
+FROM e WHERE windows > 0 GROUP BY dataset_id, unit_id"""
+    q["unplaced_rows"] = f"""WITH {_FA}
+SELECT dataset_id, unit_id AS unit, cycle AS at,
+  'NULL ' || concat_ws(', ', CASE WHEN cycle % 13 = 0 THEN 'unit_id' END, CASE WHEN cycle % 17 = 0 THEN 'cycle' END) AS problem
+FROM fa WHERE cycle % 13 = 0 OR cycle % 17 = 0"""
+    arrivals = f"""{_FB},
+arrived AS (
+  SELECT dataset_id, unit_id, cycle, sensor_1 + CASE WHEN cycle % 10 = 3 THEN 1000.0 ELSE 0.0 END AS sensor_1, sensor_2, 1 AS arrival FROM fb WHERE (cycle * 7) % 4 < 2
+  UNION ALL SELECT dataset_id, unit_id, cycle, sensor_1, sensor_2, 2 FROM fb WHERE (cycle * 7) % 4 >= 2 OR cycle % 10 = 3
+  UNION ALL SELECT dataset_id, unit_id, cycle, sensor_1 + 500.0, sensor_2, 3 FROM fb WHERE cycle % 7 = 0)"""
+    q["stream_features"] = f"""WITH {arrivals},
+last AS (SELECT * FROM arrived QUALIFY row_number() OVER (PARTITION BY dataset_id, unit_id, cycle ORDER BY arrival DESC) = 1),
+f AS (SELECT dataset_id, unit_id, cycle, row_number() OVER (PARTITION BY dataset_id, unit_id ORDER BY cycle DESC) AS back,
+  {_feature_select(["sensor_1", "sensor_2"], (5, 15, 30), (1, 3, 5))} FROM last)
+SELECT * EXCLUDE (back) FROM f WHERE back = 1"""
+    # late: thirty greater cycles, and at least one more cycle, came with earlier arrivals
+    q["stream_late_rows"] = f"""WITH {arrivals},
+seen AS (SELECT a.dataset_id, a.unit_id, a.arrival, a.cycle,
+    count(DISTINCT b.cycle) FILTER (b.cycle > a.cycle) AS greater, count(DISTINCT b.cycle) AS n
+  FROM arrived a JOIN arrived b ON a.dataset_id = b.dataset_id AND a.unit_id = b.unit_id AND b.arrival < a.arrival
+  GROUP BY a.dataset_id, a.unit_id, a.arrival, a.cycle)
+SELECT dataset_id, unit_id, CAST(count(*) AS BIGINT) AS late_rows FROM seen WHERE greater >= 30 AND n > 30 GROUP BY dataset_id, unit_id"""
+    q["benchmark_counts"] = f"""WITH {_FA}, {_SPLIT.format(src='fa')},
+n AS (SELECT dataset_id, unit_id, count(*) AS rows FROM fa GROUP BY dataset_id, unit_id)
+SELECT dataset_id, is_validation, count(*) AS units, CAST(sum(rows - 5) AS BIGINT) AS rows,
+  CAST(sum(greatest(rows - 29, 0)) AS BIGINT) AS sequence_samples
+FROM n JOIN split USING (dataset_id, unit_id) GROUP BY dataset_id, is_validation"""
     q["latest_row_per_unit"] = f"""WITH {_FA}
 SELECT dataset_id, unit_id, cycle, sensor_1, sensor_2, sensor_3, sensor_4 FROM fa
 QUALIFY row_number() OVER (PARTITION BY dataset_id, unit_id ORDER BY cycle DESC) = 1"""
@@ -924,9 +1081,10 @@ SELECT dataset_id || ':' || CAST(unit_id AS VARCHAR) || ':' || CAST(chunk AS VAR
             WHEN v = 4 THEN 'records must contain at least 1 item'
             WHEN v = 2 THEN 'Missing required fields in a record'
             WHEN v = 3 THEN 'cycle must be an integer >= 1'
-            ELSE 'Not enough cycles to compute rolling features. Provide at least 6 cycles for the largest lag, or more for stable windows.' END AS detail
+            ELSE 'Fewer cycles than the features need: send 6 or more (the largest lag is 5), 30 for full windows.' END AS detail
 FROM v WHERE v BETWEEN 1 AND 5 OR n < 6 OR unit_id < 1"""
-    rs = ["sensor_2", "sensor_3", "sensor_4"]
+    rs = [c for c in SENSOR_COLUMNS if c not in DROPPED_SENSORS]
+    sent = ", ".join(f"{c}" if c in s4 else f"CAST({'518.67' if c == 'sensor_5' else '0'} AS DOUBLE) AS {c}" for c in rs if c != "sensor_2")
     wreq = "PARTITION BY dataset_id, unit_id, chunk ORDER BY cycle"
     req_cols = []
     for s_ in rs:
@@ -943,7 +1101,7 @@ cn AS (SELECT *, count(*) OVER (PARTITION BY dataset_id, unit_id, chunk) AS n,
               (unit_id * 7 + chunk) % 10 AS v FROM c),
 adj AS (SELECT dataset_id, unit_id, chunk, cycle,
                CASE WHEN v = 6 AND cycle = last_cycle THEN sensor_2 + 1000.0 ELSE sensor_2 END AS sensor_2,
-               sensor_3, sensor_4
+               {sent}
         FROM cn WHERE NOT (v BETWEEN 1 AND 5) AND n >= 6 AND unit_id >= 1),
 f AS (SELECT dataset_id || ':' || CAST(unit_id AS VARCHAR) || ':' || CAST(chunk AS VARCHAR) AS request_id,
              unit_id, cycle, {", ".join(req_cols)},
