@@ -1,12 +1,11 @@
 """Every registered query with an oracle matches DuckDB on the same parquet
 tables (row count, column names, values), as the external gate checks."""
 
-import math
-
 import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from tools.check_oracle import rows_of
 
 from conftest import SF001
 
@@ -21,26 +20,13 @@ def duck():
     return con
 
 
-def _norm(v):
-    if v is None or (isinstance(v, float) and math.isnan(v)):
-        return None
-    if hasattr(v, "item"):
-        v = v.item()
-    return round(v, 9) if isinstance(v, float) else v
-
-
-def _rows(pdf):
-    cols = sorted(pdf.columns)
-    return sorted((tuple(_norm(v) for v in r) for r in pdf[cols].itertuples(index=False)), key=repr)
-
-
 @pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_query_matches_oracle(spark, duck, name):
     got = entry.queries()[name](spark, SF001).toPandas()
     want = duck.execute(entry.oracle_sql()[name]).df()
     assert sorted(got.columns) == sorted(want.columns)
     assert len(got) == len(want)
-    assert _rows(got) == _rows(want)
+    assert rows_of(got) == rows_of(want)
 
 
 def test_entry_smoke(spark):
