@@ -159,6 +159,7 @@ def test_near_duplicates_by_pivots_and_differences(spark, monkeypatch, rounds, s
     """Families edited lightly to heavily, families within them, mixtures of passages, repeated ids: no link is lost by any number of rounds."""
     monkeypatch.setattr(near_dups, "LIST", 4)
     monkeypatch.setattr(near_dups, "ROUNDS", rounds)
+    monkeypatch.setattr(near_dups, "FEW", 1)
     monkeypatch.setattr(near_dups, "ROUND", 2)
     rng, texts = np.random.default_rng(rounds), []
     for family in range(2):

@@ -12,8 +12,9 @@ never does: only classes of whose values at least half are in such lists (others
 share a value of a short list with any partner) go on, with their full sets, to
 rounds over lists whose members are not all joined yet:
 
-* A list of at most ``LIST`` members gives its pairs across groups.
-* A longer list gets a pivot (the member in most long lists), and every member one
+* A list of at most ``LIST`` members, or with at most ``FEW`` outside its largest group,
+  gives its pairs across groups; a pair comes from the first list it has in common.
+* Any other list gets a pivot (the member in most long lists), and every member one
   comparison with it: near ones are joined by that. A set is then known by its
   difference from the pivot (values it has more, values it lacks). Two sets differ
   where their differences do, so sets that are near each other, one of them not near
@@ -59,8 +60,10 @@ SHARED, UNITED = 85, 100
 SKETCH = 64
 INDEXED = 32
 LIST = 64
+#: So many members outside a list's largest group always meet all members.
+FEW = 16
 #: Rounds of pivots before what is left meets member by member.
-ROUNDS = 8
+ROUNDS = 5
 #: Members at least so much alike to a pivot (in percent) have lists by differences.
 HALF = 50
 #: A pivot's set is dealt to so many partitions.
@@ -175,14 +178,14 @@ def candidates(classes: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
 
 
 def _prefixes(sets: DataFrame, most) -> DataFrame:
-    """Lists (v, sid, id, n) of each set's rarest values: the first ``most`` of its k by number of sets, values of no other set first.
+    """Lists (v, sid, id, n) of each set's rarest values: the first ``most`` of its k, those that no set to be met has first, then by number of sets.
 
-    sets: sid, id, n, g (tells one sid's sets apart), vals and what ``most`` is made of, k too.
+    sets: sid, id, n, g (tells one sid's sets apart), vals, outer (to be met: pairs without such a set are not wanted) and what ``most`` is made of, k too.
     """
     vals = sets.withColumn("k", F.size("vals")).withColumn("most", most).where("most > 0")
-    vals = vals.select("sid", "id", "n", "g", "k", "most", F.explode("vals").alias("v"))
-    shared = vals.join(vals.groupBy("v").agg(F.count("*").alias("df")).where("df > 1"), "v")
-    common = shared.groupBy("sid", "id", "n", "g", "k", "most").agg(F.sort_array(F.collect_set(F.struct("df", "v"))).alias("vs"))
+    vals = vals.select("sid", "id", "n", "g", "k", "most", "outer", F.explode("vals").alias("v"))
+    lists = vals.groupBy("v").agg(F.count("*").alias("df"), F.max("outer").alias("wanted")).where("df > 1 AND wanted").select("v", "df")
+    common = vals.join(lists, "v").groupBy("sid", "id", "n", "g", "k", "most").agg(F.sort_array(F.collect_set(F.struct("df", "v"))).alias("vs"))
     left = F.greatest(F.col("most").cast("int") - (F.col("k") - F.size("vs")), F.lit(0))
     return common.select("sid", "id", "n", F.explode(F.slice("vs", F.lit(1), left)).alias("x")).select(F.col("x.v").alias("v"), "sid", "id", "n").distinct()
 
@@ -203,14 +206,35 @@ def _apart(posts: DataFrame, joined: DataFrame) -> DataFrame:
 
 def _across(chosen: DataFrame, apart: DataFrame, rule: Rule) -> DataFrame:
     """Pairs a < b (sids) of different groups and near sizes: ``chosen`` members of lists with all members."""
-    p, q = chosen.select("v", F.col("sid").alias("p"), F.col("n").alias("pn"), F.col("own").alias("po")), apart.select("v", F.col("sid").alias("q"), F.col("n").alias("qn"), F.col("own").alias("qo"))
+    p = chosen.select("v", F.col("sid").alias("p"), F.col("n").alias("pn"), F.col("own").alias("po"))
+    q = apart.select("v", F.col("sid").alias("q"), F.col("n").alias("qn"), F.col("own").alias("qo"))
     met = p.join(q, "v").where((F.col("po") != F.col("qo")) & _near_sizes("pn", "qn", rule))
     return met.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
 
 
+def _all_across(lists: DataFrame, rule: Rule) -> DataFrame:
+    """All pairs a < b of different groups and near sizes that share a list.
+
+    Two sets often share many; the join keeps a pair in the least of them alone. A
+    pair has one member outside the list's largest group at least, the left one here
+    (the one with the lesser sid if both are)."""
+    held = lists.groupBy("sid").agg(F.sort_array(F.collect_set("v")).alias("vs"))
+    rows = lists.join(held, "sid").withColumn("outer", F.col("own") != F.col("home"))
+    p = rows.where("outer").select("v", F.col("sid").alias("p"), F.col("n").alias("pn"), F.col("own").alias("po"), F.col("vs").alias("pv"))
+    q = rows.select("v", F.col("sid").alias("q"), F.col("n").alias("qn"), F.col("own").alias("qo"), "outer", F.col("vs").alias("qv"))
+    first = F.get(F.array_intersect("pv", "qv"), F.lit(0)) == F.col("v")
+    met = p.join(q, "v").where((F.col("po") != F.col("qo")) & (~F.col("outer") | (F.col("p") < F.col("q"))) & _near_sizes("pn", "qn", rule) & first)
+    return met.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"))
+
+
+def _direct() -> str:
+    """Lists whose pairs across groups are few."""
+    return f"(members <= {LIST} OR outside <= {FEW})"
+
+
 def _against_pivots(apart: DataFrame, whole: DataFrame, rule: Rule) -> DataFrame:
-    """Each member of a long list against the list's pivot: sid, id, n, vals, p (the pivot's sid), pid, pn, pv, shared, linked."""
-    long = apart.where(f"members > {LIST}")
+    """Each member of a long list against the list's pivot: sid, id, n, p (the pivot's sid), pid, pn, linked, alike (percent), vals (the difference's values, if half alike)."""
+    long = apart.where(f"NOT {_direct()}")
     weight = long.groupBy("sid").agg(F.count("*").alias("lists"))
     pivots = long.join(weight, "sid").groupBy("v").agg(F.max_by("sid", F.struct("lists", -F.col("id"), "sid")).alias("p"))
     pairs = long.select("v", "sid").join(pivots, "v").where("sid <> p").select("sid", "p").distinct()
@@ -219,23 +243,24 @@ def _against_pivots(apart: DataFrame, whole: DataFrame, rule: Rule) -> DataFrame
     centres = whole.join(pivots.select(F.col("p").alias("sid")).distinct(), "sid", "left_semi").select(
         F.col("sid").alias("p"), F.col("id").alias("pid"), F.col("n").alias("pn"), F.col("vals").alias("pv"), F.explode(F.sequence(F.lit(0), F.lit(SALT - 1)).cast("array<bigint>")).alias("salt")
     )
-    both = sides.join(centres, ["p", "salt"]).drop("salt").withColumn("shared", F.size(F.array_intersect("vals", "pv")))
+    both = sides.join(centres, ["p", "salt"]).withColumn("shared", F.size(F.array_intersect("vals", "pv")))
     united = F.col("n") + F.col("pn") - F.col("shared")
-    alike = F.floor(100 * F.col("shared") / united)
-    return both.withColumn("linked", F.col("shared") * rule.united >= united * rule.shared).withColumn("alike", alike)
+    both = both.withColumn("linked", F.col("shared") * rule.united >= united * rule.shared).withColumn("alike", F.floor(100 * F.col("shared") / united))
+    signed = lambda c, sign: F.transform(c, lambda x: F.xxhash64(F.col("p"), x, F.lit(sign)))
+    differs = F.concat(signed(F.array_except("vals", "pv"), 1), signed(F.array_except("pv", "vals"), -1))
+    return both.select("sid", "id", "n", "p", "pid", "pn", "linked", "alike", F.when(F.col("alike") >= HALF, differs).alias("vals"))
 
 
-def _next_lists(met: DataFrame, rule: Rule) -> DataFrame:
+def _next_lists(met: DataFrame, whole: DataFrame, rule: Rule) -> DataFrame:
     """Lists of the next round: by rarest differences from a pivot, or by a set's own rarest values."""
     s, u = rule.shared, rule.united
-    signed = lambda c, sign: F.transform(c, lambda x: F.xxhash64(F.col("p"), x, F.lit(sign)))
-    more, less = F.array_except("vals", "pv"), F.array_except("pv", "vals")
-    by_pivot = met.where(F.col("alike") >= HALF).select("sid", "id", "n", F.col("p").alias("g"), "pn", "linked", F.concat(signed(more, 1), signed(less, -1)).alias("vals"))
+    by_pivot = met.where("vals IS NOT NULL").select("sid", "id", "n", F.col("p").alias("g"), "pn", "linked", "vals", (~F.col("linked")).alias("outer"))
     k = F.col("k")
     near = F.floor((k * (u + s) - (u - s) * (F.col("n") - F.col("pn"))) / (2 * (u + s))) + 1
     other = F.ceil((k * s - (u - s) * F.col("n")) / s)
     need = F.greatest(F.when(F.col("linked"), near).otherwise(other), F.lit(1))
-    own = met.where(F.col("alike") < rule.wide).select("sid", "id", "n", F.lit(0).cast("long").alias("g"), "vals").dropDuplicates(["sid"])
+    far = met.where(F.col("alike") < rule.wide).select("sid").distinct()
+    own = whole.join(far, "sid", "left_semi").select("sid", "id", "n", F.lit(0).cast("long").alias("g"), "vals", F.lit(True).alias("outer"))
     return _prefixes(by_pivot, k - need + 1).unionByName(_prefixes(own, _own_prefix(rule.share)))
 
 
@@ -285,8 +310,8 @@ def _wanted_sets(slim: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def _meet_the_rest(slim: DataFrame, classes: DataFrame, often: DataFrame, links: DataFrame, joined: DataFrame, rule: Rule) -> DataFrame:
     """The components after every pair of the classes mostly in long lists is linked, joined without, or excluded."""
-    sketched = classes.join(often, "id", "left_semi").withColumns({"sid": F.col("id"), "g": F.xxhash64("digest")})
-    apart = _apart(_prefixes(sketched.select("sid", "id", "n", "g", "vals"), _own_prefix(rule.estimate)), joined)
+    sketched = classes.join(often, "id", "left_semi").withColumns({"sid": F.col("id"), "g": F.xxhash64("digest"), "outer": F.lit(True)})
+    apart = _apart(_prefixes(sketched.select("sid", "id", "n", "g", "vals", "outer"), _own_prefix(rule.estimate)), joined)
     first = materialize(apart.select("v", "id").distinct(), "near-first")
     open_ids = first.select("id").distinct()
     whole = _wanted_sets(slim, open_ids.select(F.col("id").alias("a"), F.col("id").alias("b"))).join(open_ids, "id", "left_semi")
@@ -296,13 +321,13 @@ def _meet_the_rest(slim: DataFrame, classes: DataFrame, often: DataFrame, links:
         apart = materialize(_apart(posts, joined), "near-apart")
         if apart.isEmpty():
             return joined
-        short = apart.where(f"members <= {LIST}")
+        short = apart.where(_direct())
         met = materialize(_against_pivots(apart, whole, rule), "near-pivots")
-        found = _linked(_across(short, short, rule), whole, rule, "sid")
+        found = _linked(_all_across(short, rule), whole, rule, "sid")
         near = met.where("linked").select(F.col("pid").alias("a"), F.col("id").alias("b"))
         old = links, joined, posts, apart, met
         links = materialize(links.unionByName(found).unionByName(near).distinct(), "near-links")
-        joined, posts = components(links), materialize(_next_lists(met, rule), "near-lists")
+        joined, posts = components(links), materialize(_next_lists(met, whole, rule), "near-lists")
         discard(*old)
     centres = ROUND
     while True:
