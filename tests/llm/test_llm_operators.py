@@ -350,6 +350,12 @@ def test_quotation_linking(spark):
     assert by[1, 1] == (0, 0, 1, "Fine, thanks.") and by[1, 2] == (1, 0, 2, "Good to hear.") and by[1, 4] == (2, 0, 3, "yes")
     assert by[1, 3] == (None, 3, 0, "Unrelated") and by[2, 0] == (None, 0, 0, None) and by[2, 1] == (None, 1, 0, "") and by[None, 1][:3] == (None, 1, 0)
     assert quotes.conversations(df.where("false")).count() == 0
+    # columns named as the operator's own, and a struct with odd field names
+    clash = df.withColumns({c: F.lit(c) for c in ("root", "Depth", "reply_to", "own_text")}).withColumn("odd", F.struct(F.lit(1).alias("a b"), F.lit(2).alias("x:y")))
+    more = quotes.conversations(clash)
+    assert more.columns == [*df.columns, "in_root", "in_Depth", "in_reply_to", "in_own_text", "odd", *quotes.OWN]
+    assert {(r.conv_id, r.turn): (r.reply_to, r.root, r.depth, r.own_text) for r in more.collect()} == by
+    assert {(r.in_root, r.in_Depth, r.in_reply_to, r.in_own_text, r.odd["x:y"]) for r in more.collect()} == {("root", "Depth", "reply_to", "own_text", 2)}
 
 
 def test_language_id_held_out(spark, none):

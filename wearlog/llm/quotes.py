@@ -28,6 +28,7 @@ import re
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wearlog.session import materialize
 
@@ -125,9 +126,17 @@ def reply_chains(links: DataFrame) -> DataFrame:
             return state
 
 
+#: Columns of the result besides the input's.
+OWN = ("reply_to", "root", "depth", "own_text")
+
+
 def conversations(messages: DataFrame) -> DataFrame:
-    """All rows in reply order: the input's columns, then reply_to, root, depth, own_text."""
-    chains = reply_chains(quote_links(messages))
+    """All rows in reply order: the input's columns, then reply_to, root, depth, own_text.
+
+    An input column of one of those four names (in any case) is carried as ``in_<name>``.
+    """
+    chains = reply_chains(quote_links(messages)).withColumnsRenamed({"reply_to": "__reply_to", "root": "__root", "depth": "__depth"})
+    place = {c: f"__{i}" for i, c in enumerate(messages.columns)}
     at = messages.columns.index("text")
 
     def strip(batches):
@@ -135,14 +144,12 @@ def conversations(messages: DataFrame) -> DataFrame:
             own = [None if t is None else parse(t)[0] for t in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(own, pa.string())], names=[*names, "__own"])
 
-    rows = messages.withColumn("text", F.col("text").cast("string"))
-    names = [f"__{i}" for i in range(len(rows.columns))]
-    plain = rows.toDF(*names)
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in plain.schema) + ", __own string"
-    plain = plain.mapInArrow(strip, schema).toDF(*messages.columns, "__own")
-    here = (plain["conv_id"] == chains["__conv"]) & (plain["turn"] == chains["__turn"])
-    out = plain.join(chains, here, "left").select(
-        *[plain[c] for c in messages.columns],
-        F.col("reply_to"), F.coalesce(chains["root"], plain["turn"]).alias("root"), F.coalesce(chains["depth"], F.lit(0)).alias("depth"), F.col("__own").alias("own_text"),
+    names = list(place.values())
+    plain = messages.withColumn("text", F.col("text").cast("string")).toDF(*names)
+    plain = plain.mapInArrow(strip, T.StructType([*plain.schema.fields, T.StructField("__own", T.StringType())]))
+    conv, turn = place["conv_id"], place["turn"]
+    out = plain.join(chains, (F.col(conv) == F.col("__conv")) & (F.col(turn) == F.col("__turn")), "left").select(
+        *(F.col(p).alias(f"in_{c}" if c.lower() in OWN else c) for c, p in place.items()),
+        F.col("__reply_to").alias("reply_to"), F.coalesce("__root", turn).alias("root"), F.coalesce("__depth", F.lit(0)).alias("depth"), F.col("__own").alias("own_text"),
     )
     return out.repartitionByRange("conv_id", "root", "depth", "turn").sortWithinPartitions("conv_id", "root", "depth", "turn")
