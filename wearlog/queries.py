@@ -27,7 +27,7 @@ from .operators.sensors import (
     suggest_low_variance_sensors,
 )
 from .operators.sequences import create_sequence_dataset, pack_sequences
-from .operators.split import apply_split, split_counts, split_units
+from .operators.split import apply_split, rows_of_units, split_counts, split_units
 from .schema import DROPPED_SENSORS, SENSOR_COLUMNS
 from .sources.fixtures import cached_frame, supplier_truth
 
@@ -258,10 +258,10 @@ def q_model_comparison(spark, sf_dir):
     loss, so the union fills the first one's with NULL."""
     from .plans.sinks import union_results
 
-    pred = _predictions(spark, sf_dir)
+    lab = add_rul_targets(_fa(spark, sf_dir), cap=125)
+    pred = lab.withColumn("prediction", F.col("rul") + F.col("sensor_1") - 25.5)
     a = regression_metrics(pred, "rul", "prediction", ["dataset_id"]).withColumn("model", F.lit("quantity_offset"))
-    offsets = _fa(spark, sf_dir).select(*KEYS, "cycle", (F.col("sensor_3") * 100 - 5).alias("_off"))
-    p2 = pred.join(offsets, [*KEYS, "cycle"]).withColumn("prediction", F.col("rul") + F.col("_off"))
+    p2 = lab.withColumn("prediction", F.col("rul") + (F.col("sensor_3") * 100 - 5))
     d = F.col("prediction") - F.col("rul")
     b = (
         regression_metrics(p2, "rul", "prediction", ["dataset_id"])
@@ -440,13 +440,17 @@ def q_text_source_truth(spark, sf_dir):
 
 
 def q_availability_grid(spark, sf_dir):
+    """Missing files of the fleets asked for, and the rows of those that are there."""
+    from .sources.cycle_files import load_split
     from .sources.listing import availability
 
     root = fixture_text_files(spark, sf_dir)
     available, missing = availability(spark, root, ["FD001", "fd002", "3", "FD004"])
-    return missing.select("dataset_id", F.explode("paths").alias("path")).unionByName(
-        available.select("dataset_id", F.lit(None).cast("string").alias("path"))
-    )
+    names = F.transform("paths", lambda p: F.element_at(F.split(p, "/"), -1))
+    fleets = [r.dataset_id for r in available.select("dataset_id").collect()]
+    rows = load_split(spark, root, fleets, "train").groupBy("dataset_id").agg(F.count(F.lit(1)).alias("train_rows"))
+    gone = missing.select("dataset_id", F.explode(names).alias("missing_file"), F.lit(None).cast("long").alias("train_rows"))
+    return gone.unionByName(rows.select("dataset_id", F.lit(None).cast("string").alias("missing_file"), "train_rows"))
 
 
 # --- requests -------------------------------------------------------------------
@@ -507,7 +511,7 @@ def q_request_latest_features(spark, sf_dir):
 def _bench_config(**kw):
     from .plans.benchmark import BenchmarkConfig
 
-    base = dict(rf_num_trees=20, rf_max_depth=8, seq_max_rounds=5, seq_patience=2, sequence_stride=5)
+    base = dict(rf_num_trees=20, rf_max_depth=8)
     base.update(kw)
     return BenchmarkConfig(**base)
 
@@ -519,6 +523,28 @@ def q_benchmark_counts(spark, sf_dir):
     return split_sizes(prepare_training_inputs(_fa(spark, sf_dir), BenchmarkConfig(include_sequence_model=True)))
 
 
+def q_published_run_log(spark, sf_dir):
+    """The log of a published run, read back after the run was tried twice: a parent and a child for each fleet."""
+    import uuid
+
+    from .plans.benchmark import BenchmarkConfig, prepare_training_inputs, split_sizes
+    from .plans.publish import RunStore, publish_benchmark
+    from .session import materialize, scratch_path
+
+    sizes = materialize(split_sizes(prepare_training_inputs(_fa(spark, sf_dir), BenchmarkConfig())), "split-sizes")
+    side = lambda c, flag, name: F.sum(F.when(F.col("is_validation") == flag, F.col(c))).alias(name)
+    summary = sizes.groupBy("dataset_id").agg(
+        side("units", False, "train_units"), side("units", True, "validation_units"), side("rows", False, "train_rows"), side("rows", True, "validation_rows")
+    ).withColumn("model", F.lit("split"))
+    root = scratch_path(spark, "published", uuid.uuid4().hex[:12])
+    for _ in range(2):
+        publish_benchmark(spark, root, {"validation_fraction": 0.2, "seed": 42}, sf_dir, summary)
+    store = RunStore(spark, root)
+    runs, metrics = store.table("runs"), store.table("run_metrics")
+    children = runs.join(metrics, "run_id").where("parent_run_id IS NOT NULL")
+    return children.groupBy("run_name", "key").agg(F.count(F.lit(1)).alias("n"), F.max("value").alias("value"))
+
+
 def q_rf_validation_metrics(spark, sf_dir):
     from .plans.benchmark import run_benchmark_on_frame
 
@@ -559,14 +585,14 @@ def q_sequence_regressor_history(spark, sf_dir):
     from .session import materialize
 
     lab = _labeled(spark, sf_dir)
-    seq = create_sequence_dataset(lab, ["op_setting_1", "sensor_2", "sensor_3", "sensor_4"], sequence_length=30, stride=5)
+    seq = create_sequence_dataset(lab, ["op_setting_1", "sensor_2", "sensor_3", "sensor_4"], sequence_length=30)
     flagged = materialize(apply_split(seq, split_units(lab, 0.2, 42)), "seq-flagged", partition_by=["dataset_id"])
     fleets = [r.dataset_id for r in flagged.select("dataset_id").distinct().orderBy("dataset_id").collect()]
     out = None
     for ds in fleets:
         part = flagged.where(F.col("dataset_id") == ds)
         res = train_sequence_regressor(
-            part.where(~F.col("is_validation")), part.where(F.col("is_validation")), max_rounds=6, patience=0
+            part.where(~F.col("is_validation")), part.where(F.col("is_validation")), max_rounds=8, patience=3
         )
         h = res.history.withColumn("dataset_id", F.lit(ds)).withColumn("best_round", F.lit(res.best_round))
         out = h if out is None else out.unionByName(h)
@@ -596,19 +622,19 @@ def q_rf_batch_scores(spark, sf_dir):
 
 
 def q_test_set_metrics(spark, sf_dir):
-    """Each fleet's forest scored on the last cycle of its test units."""
+    """Each fleet's forest scored on the last cycle of the units its split held out."""
     from .plans.benchmark import evaluate_on_test, run_benchmark_on_frame
     from .schema import kept_sensors
 
     cfg = _bench_config()
     fa = _fa(spark, sf_dir)
     _, art = run_benchmark_on_frame(spark, fa, cfg)
-    truth = supplier_truth(spark, sf_dir)
+    truth, held_out = supplier_truth(spark, sf_dir), art["prepared"].units.where("is_validation")
     out = None
     for (ds, kind), res in sorted(art["models"].items()):
         if kind != "random_forest":
             continue
-        test = fa.where(F.col("dataset_id") == ds)
+        test = rows_of_units(fa.where(F.col("dataset_id") == ds), held_out)
         m = evaluate_on_test(res.model, test, truth, res.feature_columns, kept_sensors(fa), cfg)
         out = m if out is None else out.unionByName(m)
     return out
@@ -723,6 +749,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_features": q_stream_features,
     "stream_late_rows": q_stream_late_rows,
     "benchmark_counts": q_benchmark_counts,
+    "published_run_log": q_published_run_log,
     "latest_row_per_unit": q_latest_row_per_unit,
     "dedupe_keep_last": q_dedupe_keep_last,
     "unit_trajectory": q_unit_trajectory,
@@ -1037,6 +1064,17 @@ n AS (SELECT dataset_id, unit_id, count(*) AS rows FROM fa GROUP BY dataset_id,
 SELECT dataset_id, is_validation, count(*) AS units, CAST(sum(rows - 5) AS BIGINT) AS rows,
   CAST(sum(greatest(rows - 29, 0)) AS BIGINT) AS sequence_samples
 FROM n JOIN split USING (dataset_id, unit_id) GROUP BY dataset_id, is_validation"""
+    q["availability_grid"] = f"""WITH {_FA}
+SELECT 'FD004' AS dataset_id, f AS missing_file, CAST(NULL AS BIGINT) AS train_rows FROM (VALUES ('train_FD004.txt'), ('test_FD004.txt'), ('RUL_FD004.txt')) AS v(f)
+UNION ALL SELECT dataset_id, NULL, count(*) FROM fa GROUP BY dataset_id"""
+    q["published_run_log"] = f"""WITH {_FA}, {_SPLIT.format(src='fa')},
+n AS (SELECT dataset_id, unit_id, count(*) AS rows FROM fa GROUP BY dataset_id, unit_id),
+w AS (SELECT dataset_id,
+    CAST(count(*) FILTER (NOT is_validation) AS DOUBLE) AS train_units, CAST(count(*) FILTER (is_validation) AS DOUBLE) AS validation_units,
+    CAST(sum(rows - 5) FILTER (NOT is_validation) AS DOUBLE) AS train_rows, CAST(sum(rows - 5) FILTER (is_validation) AS DOUBLE) AS validation_rows
+  FROM n JOIN split USING (dataset_id, unit_id) GROUP BY dataset_id)
+SELECT dataset_id || ' split' AS run_name, key, CAST(1 AS BIGINT) AS n, value
+FROM (UNPIVOT w ON train_units, validation_units, train_rows, validation_rows INTO NAME key VALUE value)"""
     q["latest_row_per_unit"] = f"""WITH {_FA}
 SELECT dataset_id, unit_id, cycle, sensor_1, sensor_2, sensor_3, sensor_4 FROM fa
 QUALIFY row_number() OVER (PARTITION BY dataset_id, unit_id ORDER BY cycle DESC) = 1"""

@@ -69,11 +69,8 @@ def collect_available_datasets(
     missing = {r["dataset_id"]: list(r["paths"]) for r in missing_df.collect()}
     available = [r["dataset_id"] for r in available_df.collect()]
     if missing and not skip_missing:
-        first = next(iter(sorted(missing)))
-        raise FileNotFoundError(
-            f"Missing required raw files for {first}: {missing[first]}. "
-            "Set skip_missing=True to continue with available datasets."
-        )
+        told = "; ".join(f"{fleet} lacks {len(paths)} files, {paths}" for fleet, paths in sorted(missing.items()))
+        raise FileNotFoundError(f"incomplete fleets: {told} (skip_missing=True goes on without them)")
     if not available:
-        raise FileNotFoundError(f"No requested datasets are available in {raw_dir}: {missing}")
+        raise FileNotFoundError(f"{raw_dir} has all files of none of the fleets {sorted(missing)}")
     return available, missing
