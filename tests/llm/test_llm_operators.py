@@ -370,10 +370,19 @@ def test_language_id_held_out(spark, none):
 
 
 def test_calibration():
-    logits = np.array([[3.0, 0], [2.5, 0], [0.1, 0], [0, 4.0]])
-    assert language_id.calibrate(logits, np.array([0, 0, 0, 1]))[1] == 0.0
-    t, least = language_id.calibrate(logits, np.array([0, 0, 1, 1]))
-    assert 0.5 < least <= 1 and t > 0
+    rng = np.random.default_rng(2)
+    labels = rng.integers(0, 3, 900)
+    logits = rng.normal(0, 0.3, (900, 3)) + 2.5 * np.eye(3)[labels]
+    t, least = language_id.calibrate(logits, labels)
+    prob = language_id._softmax(logits / t)
+    right = prob.argmax(axis=1) == labels
+    # a floor above 0 that costs next to none of the right answers
+    assert 0.3 < least and (prob.max(axis=1)[right] < least).mean() <= 0.002
+    # wrong answers, few or none held back: the floor goes down, never up to everything
+    mixed = language_id.calibrate(logits, rng.permutation(labels))[1]
+    assert mixed <= 1 and language_id.calibrate(logits[:9], labels[:9])[1] < 0.1
+    assert language_id.calibrate(logits[:0], labels[:0])[1] == 0.0
+    assert language_id.calibrate(np.array([[9.0, 0.0]]), np.array([1]))[1] == 0.0
 
 
 def test_weak_labels(spark, none):

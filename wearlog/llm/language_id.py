@@ -5,8 +5,8 @@ case, other ASCII as blanks), and a linear softmax names the language. Both are
 trained by stochastic gradient descent in numpy on a bounded sample: at most
 ``PER_LANG`` labelled texts of a language (least hashes of the id), at most
 ``GRAMS`` evenly spread grams of each. A fifth of the sample is held back: it
-sets the softmax's temperature and the rejection threshold, the least score
-above which the held-back texts are right at least ``ACCURACY`` of the time.
+sets the softmax's temperature and the rejection threshold: the score that nearly
+all right answers to held-back texts reach (see ``calibrate``).
 
 Prediction uses whole texts, and the text only. As a text's logits are linear in
 its grams, a task keeps one weight per bucket and language.
@@ -38,7 +38,8 @@ EPOCHS = 6
 UPDATES = 1200
 BATCH = 32
 RATE = 2.0
-ACCURACY = 0.99
+#: Share of right answers that the least score may cost, and the number of held-back texts that halves it.
+LOST, CAUTION = 0.002, 100
 ORDERS = (3, 4)
 UND = "und"
 LETTER = re.compile(r"[^\W\d_]")
@@ -111,20 +112,23 @@ def fit(grams: list[np.ndarray], labels: np.ndarray, n_langs: int, seed: int = 7
     return emb, soft, bias
 
 
-def calibrate(logits: np.ndarray, labels: np.ndarray, accuracy: float = ACCURACY) -> tuple[float, float]:
-    """The temperature of least log loss, and the least score that keeps answers right often enough."""
+def calibrate(logits: np.ndarray, labels: np.ndarray, lost: float = LOST) -> tuple[float, float]:
+    """The temperature of least log loss, and the least score of an answer.
+
+    That is the score that all but ``lost`` of the right answers to held-back texts
+    reach, so it costs clean texts little; with few such texts (n) it is shrunk by
+    n / (n + ``CAUTION``), and without any nothing is rejected for its score.
+    """
     if not len(labels):
         return 1.0, 0.0
-    grid = np.geomspace(0.05, 20, 121)
+    grid = np.geomspace(1, 50, 121)  # softer only: texts that are all right would call for none at all
     loss = [-np.log(np.maximum(_softmax(logits / t)[np.arange(len(labels)), labels], 1e-12)).mean() for t in grid]
     t = float(grid[int(np.argmin(loss))])
     prob = _softmax(logits / t)
-    order = np.argsort(-prob.max(axis=1), kind="stable")
-    top, right = prob.max(axis=1)[order], (prob.argmax(axis=1) == labels)[order]
-    good = np.flatnonzero(np.cumsum(right) >= accuracy * np.arange(1, len(right) + 1))
-    if not len(good) or good[-1] == len(right) - 1:
-        return t, 0.0 if len(good) else 1.0
-    return t, float(top[good[-1]])
+    right = np.sort(prob.max(axis=1)[prob.argmax(axis=1) == labels])
+    if not len(right):
+        return t, 0.0
+    return t, float(right[int(lost * len(right))]) * len(right) / (len(right) + CAUTION)
 
 
 def train(docs: DataFrame, per_lang: int = PER_LANG) -> Model:
