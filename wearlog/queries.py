@@ -9,7 +9,7 @@ large asymmetric sums), and integer outputs are cast to one agreed type.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,7 +28,7 @@ from .operators.sensors import (
 )
 from .operators.sequences import create_sequence_dataset, pack_sequences
 from .operators.split import apply_split, rows_of_units, split_counts, split_units
-from .schema import DROPPED_SENSORS, SENSOR_COLUMNS
+from .schema import DROPPED_SENSORS, OP_SETTING_COLUMNS, SENSOR_COLUMNS
 from .sources.fixtures import cached_frame, supplier_truth
 
 SENSORS4 = ["sensor_1", "sensor_2", "sensor_3", "sensor_4"]
@@ -387,47 +387,41 @@ def q_test_rul_tail(spark, sf_dir):
 _WRITTEN: dict[tuple, str] = {}
 
 
-def fixture_text_files(spark: SparkSession, sf_dir: str) -> str:
+def fixture_text_files(spark: SparkSession, sf_dir: str, splits: Sequence[str] = ("train", "test", "rul")) -> str:
     """Write the lineitem fleets as cycle files (train and test) and the
-    supplier truth as ordered truth files, once per session; returns the
-    folder. Each logical file is a folder of ordered part files."""
+    supplier truth as ordered truth files, each split once per session and only
+    if asked for; returns the folder. Each logical file is a folder of ordered
+    part files."""
     import os
+    import uuid
 
     from .session import scratch_path
+    from .sources.cycle_files import split_file_name
 
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
-    if key in _WRITTEN:
-        return _WRITTEN[key]
-    import uuid
-
-    root = scratch_path(spark, "raw", uuid.uuid4().hex[:12])
-    fa = _fa(spark, sf_dir)
-    values = ["unit_id", "cycle", "op_setting_1", "op_setting_2", "op_setting_3"] + [
-        f"sensor_{i}" for i in range(1, 22)
-    ]
-    line = F.concat_ws(
-        " ", *[(F.col(c) if c in fa.columns else F.lit(0.0)).cast("string") for c in values]
-    )
-    truth = supplier_truth(spark, sf_dir)
-    for ds in ("FD001", "FD002", "FD003"):
-        rows = fa.where(F.col("dataset_id") == ds).select(line.alias("value"))
-        rows.write.mode("overwrite").text(os.path.join(root, f"train_{ds}.txt"))
-        rows.write.mode("overwrite").text(os.path.join(root, f"test_{ds}.txt"))
-        (
-            truth.where(F.col("dataset_id") == ds)
-            .orderBy("unit_id")
-            .select(F.col("final_rul").cast("string").alias("value"))
-            .write.mode("overwrite")
-            .text(os.path.join(root, f"RUL_{ds}.txt"))
-        )
-    _WRITTEN[key] = root
+    root = _WRITTEN.setdefault(key, scratch_path(spark, "raw", uuid.uuid4().hex[:12]))
+    for split in splits:
+        if (*key, split) in _WRITTEN:
+            continue
+        if split == "rul":
+            rows = supplier_truth(spark, sf_dir).select("dataset_id", "unit_id", F.col("final_rul").cast("string").alias("value"))
+        else:
+            fa = _fa(spark, sf_dir)
+            values = ["unit_id", "cycle", *OP_SETTING_COLUMNS, *SENSOR_COLUMNS]
+            line = F.concat_ws(" ", *[(F.col(c) if c in fa.columns else F.lit(0.0)).cast("string") for c in values])
+            rows = fa.select("dataset_id", line.alias("value"))
+        for ds in ("FD001", "FD002", "FD003"):
+            part = rows.where(F.col("dataset_id") == ds)
+            part = part.orderBy("unit_id") if split == "rul" else part
+            part.select("value").write.mode("overwrite").text(os.path.join(root, split_file_name(ds, split)))
+        _WRITTEN[(*key, split)] = root
     return root
 
 
 def q_text_source_cycles(spark, sf_dir):
     from .sources.cycle_files import load_split
 
-    root = fixture_text_files(spark, sf_dir)
+    root = fixture_text_files(spark, sf_dir, ["train"])
     rows = load_split(spark, root, ["FD001", "FD002", "FD003"], "train", mode="strict")
     return rows.select(*KEYS, "cycle", *SENSORS4)
 
@@ -435,7 +429,7 @@ def q_text_source_cycles(spark, sf_dir):
 def q_text_source_truth(spark, sf_dir):
     from .sources.cycle_files import load_split
 
-    root = fixture_text_files(spark, sf_dir)
+    root = fixture_text_files(spark, sf_dir, ["rul"])
     return load_split(spark, root, [1, 2, 3], "rul", mode="strict")
 
 
