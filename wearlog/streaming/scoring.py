@@ -1,10 +1,10 @@
 """Structured Streaming scorer: cycle rows in, a score per updated unit out.
 
-Each unit keeps its latest distinct cycles in Spark's state store, as a map state
-with an entry per cycle (``transformWithState``): a micro-batch reads the unit's
-entries once and writes only the cycles it changes. Of rows for one cycle the last
-arrival wins, by ``arrival_col``, wherever micro-batches are cut. The map holds as
-many cycles as a feature row needs; a row older than a full map's oldest cycle
+Each unit keeps its latest distinct cycles in Spark's state store
+(``transformWithState``), as arrays of one value: a micro-batch reads the unit's state
+with one request and writes it with one. Of rows for one cycle the last
+arrival wins, by ``arrival_col``, wherever micro-batches are cut. The state holds as
+many cycles as a feature row needs; a row older than a full state's oldest cycle
 comes too late to be placed: it is left out and counted, and the counts are rows
 of the output. ``cycle`` is a position, not event time, so there is no watermark;
 units without rows for ``idle_timeout`` are dropped by a processing-time timer.
@@ -18,10 +18,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-import numpy as np
 import pandas as pd
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -56,56 +55,64 @@ class UnitBuffer(StatefulProcessor):
         self.evicted = handle.getValueState("evicted", T.StructType([T.StructField("evicted", T.BooleanType())]))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        fresh = pd.concat(list(rows), ignore_index=True)
-        held = {k[0]: tuple(v) for k, v in self.cycles.iterator()}
-        evicted = bool(self.evicted.exists())
+        parts = [f[[self.cycle_col, self.arrival_col, *self.sensors]] for f in rows]
+        fresh = [row for part in parts for row in zip(*(part[c].tolist() for c in part.columns))]
+        out = self._placed(key, fresh, timerValues)
+        if out:
+            yield self._emit(out)
+
+    def _placed(self, key, fresh: list[tuple], timerValues) -> list[tuple]:
+        """Takes rows (cycle, arrival, sensors) of a unit into its state; the rows to emit."""
+        held, evicted = self._read()
         late = 0
         if evicted:
-            on_time = fresh[self.cycle_col] >= min(held)
-            late, fresh = int((~on_time).sum()), fresh[on_time]
+            first = min(held)
+            on_time = [row for row in fresh if row[0] >= first]
+            late, fresh = len(fresh) - len(on_time), on_time
+        known = set(held)
         changed = self._newest(fresh, held)
         held |= changed
         dropped = sorted(held)[: max(0, len(held) - self.capacity)]
         for cycle in dropped:
             del held[cycle]
-            if cycle not in changed or self.cycles.containsKey((cycle,)):
-                self.cycles.removeKey((cycle,))
-        if dropped and not evicted:
-            self.evicted.update((True,))
-        for cycle in changed.keys() & held.keys():
-            self.cycles.updateValue((cycle,), changed[cycle])
+        self._write(held, changed.keys() & held.keys(), [c for c in dropped if c in known], evicted, evicted or bool(dropped))
         if self.idle_ms:
             for timer in list(self.handle.listTimers()):
                 self.handle.deleteTimer(timer)
             self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.idle_ms)
-        if changed or late:
-            yield self._emit(key, held if changed else {}, evicted or bool(dropped), late)
+        out = []
+        if changed:
+            # the oldest rows of a map that has dropped some lack history
+            whole = evicted or bool(dropped)
+            out = [(*key, c, *held[c][1:], not whole or i >= self.capacity - 1, None) for i, c in enumerate(sorted(held))]
+        if late:
+            out.append((*key, None, *(None for _ in self.sensors), None, late))
+        return out
+
+    def _read(self) -> tuple[dict, bool]:
+        return {k[0]: tuple(v) for k, v in self.cycles.iterator()}, bool(self.evicted.exists())
 
-    def _newest(self, fresh: pd.DataFrame, held: dict) -> dict:
+    def _write(self, held: dict, changed, gone: Sequence[int], was: bool, evicted: bool) -> None:
+        for cycle in gone:
+            self.cycles.removeKey((cycle,))
+        if evicted and not was:
+            self.evicted.update((True,))
+        for cycle in changed:
+            self.cycles.updateValue((cycle,), held[cycle])
+
+    def _newest(self, fresh: Sequence[tuple], held: dict) -> dict:
         """Of the rows, by cycle, those that arrived last and not before the one held."""
-        order = fresh.sort_values([self.cycle_col, self.arrival_col, *self.sensors], kind="stable")
-        last = order.drop_duplicates(self.cycle_col, keep="last")
-        values = last[self.sensors].astype("float64")
+        missing = lambda v: v is None or v != v
+        order = sorted(fresh, key=lambda row: (row[0], row[1], *((missing(v), 0.0 if missing(v) else v) for v in row[2:])))
         out = {}
-        for cycle, arrival, row in zip(last[self.cycle_col], last[self.arrival_col], values.itertuples(index=False)):
-            arrival = arrival.item() if hasattr(arrival, "item") else arrival
+        for cycle, arrival, *values in order:
             if cycle not in held or arrival >= held[cycle][0]:
-                out[int(cycle)] = (arrival, *(None if np.isnan(v) else float(v) for v in row))
+                out[int(cycle)] = (arrival, *(None if missing(v) else float(v) for v in values))
         return out
 
-    def _emit(self, key, held: dict, evicted: bool, late: int) -> pd.DataFrame:
-        order = sorted(held)
-        more = [None] if late else []
-        out = pd.DataFrame({self.cycle_col: pd.array([*order, *more], dtype="Int32")})
-        for i, sensor in enumerate(self.sensors):
-            out[sensor] = pd.array([*(held[c][1 + i] for c in order), *more], dtype="Float64")
-        # the oldest rows of a map that has dropped some lack history
-        whole = [not evicted or i >= self.capacity - 1 for i in range(len(order))]
-        out[WHOLE] = pd.array([*whole, *more], dtype="boolean")
-        out[LATE] = pd.array([None] * len(order) + [late] * len(more), dtype="Int64")
-        for i, name in enumerate(self.keys):
-            out.insert(i, name, key[i])
-        return out
+    def _emit(self, rows: list[tuple]) -> pd.DataFrame:
+        kinds = {self.cycle_col: "Int32", **dict.fromkeys(self.sensors, "Float64"), WHOLE: "boolean", LATE: "Int64"}
+        return pd.DataFrame({name: pd.array(col, dtype=kinds.get(name)) for name, col in zip([*self.keys, *kinds], map(list, zip(*rows)))})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.cycles.clear()
@@ -116,6 +123,40 @@ class UnitBuffer(StatefulProcessor):
         pass
 
 
+class PackedBuffer(UnitBuffer):
+    """:class:`UnitBuffer` on rows, with a unit's cycles as the arrays of one value: a
+    micro-batch reads a unit's state with one request and writes it with one, whatever
+    the number of cycles that change (at most ``capacity`` are held)."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        arrays = [T.ArrayType(T.IntegerType()), T.ArrayType(self.arrival_type), *(T.ArrayType(T.DoubleType()) for _ in self.sensors)]
+        fields = [T.StructField(f"c{i}", kind) for i, kind in enumerate(arrays)]
+        self.value = handle.getValueState("unit", T.StructType([*fields, T.StructField("evicted", T.BooleanType())]))
+
+    def handleInputRows(self, key, rows, timerValues):
+        fresh = [(row[self.cycle_col], row[self.arrival_col], *(row[s] for s in self.sensors)) for row in rows]
+        names = [*self.keys, self.cycle_col, *self.sensors, WHOLE, LATE]
+        for row in self._placed(tuple(key), fresh, timerValues):
+            yield Row(**dict(zip(names, row)))
+
+    def _read(self) -> tuple[dict, bool]:
+        value = self.value.get()
+        if value is None:
+            return {}, False
+        *columns, evicted = value
+        return {row[0]: tuple(row[1:]) for row in zip(*columns)}, bool(evicted)
+
+    def _write(self, held: dict, changed, gone: Sequence[int], was: bool, evicted: bool) -> None:
+        if changed or gone or was != evicted:
+            rows = [(cycle, *values) for cycle, values in sorted(held.items())]
+            self.value.update((*map(list, zip(*rows)), evicted))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        self.value.clear()
+        return iter(())
+
+
 def history_rows(windows: Sequence[int], lags: Sequence[int]) -> int:
     """Rows a feature row needs, itself included."""
     return max(max(windows), max(lags, default=0) + 1)
@@ -154,10 +195,10 @@ def unit_buffers(
     rows = stream.select(
         *keys, F.col(cycle_col).cast("int").alias(cycle_col), arrival_col, *(F.col(s).cast("double").alias(s) for s in sensors)
     ).dropna(subset=[*keys, cycle_col, arrival_col])
-    processor = UnitBuffer(
+    processor = PackedBuffer(
         keys, cycle_col, arrival_col, fields[arrival_col].dataType, sensors, history_rows(windows, lags), idle_ms
     )
-    return rows.groupBy(*keys).transformWithStateInPandas(
+    return rows.groupBy(*keys).transformWithState(
         statefulProcessor=processor,
         outputStructType=out,
         outputMode="Update",
