@@ -123,6 +123,36 @@ def test_request_rules(spark):
     assert records.where("request_id = 'ok'").count() == 6
 
 
+def test_request_values_are_parsed_as_numbers_and_again_only_where_that_fails(spark):
+    good = _sample()
+    bodies = {"ok": json.dumps(good)}
+    changed = lambda old, new: json.dumps(good).replace(old, new, 1)
+    bodies["quoted"] = changed('"sensor_4": 4.1', '"sensor_4": "4.1"')
+    bodies["turned"] = json.dumps({"records": [dict(reversed(r.items())) for r in good["records"]], "unit_id": 1})
+    bodies["turned and quoted"] = bodies["turned"].replace('"cycle": 2', '"cycle": " 2 "')
+    bodies["unit"] = changed('"unit_id": 1', '"unit_id": "1"')
+    bodies["twice"] = changed('"sensor_4": 4.1', '"sensor_4": 4.1, "sensor_4": 9')
+    bad = {"word": '"x"', "none": "null", "flag": "true", "list": "[4.1]", "NaN": '"NaN"', "large": "1e400", "small": "-1e400", "inf": '"-Infinity"'}
+    bodies |= {k: changed('"sensor_4": 4.1', f'"sensor_4": {v}') for k, v in bad.items()}
+    bodies["no list"] = json.dumps({"unit_id": 1, "records": {"cycle": 1}})
+    bodies["word and extra"] = changed('"sensor_4": 4.1', '"sensor_4": "x", "more": 1')
+    bodies["quoted cycle 0"] = changed('"cycle": 1', '"cycle": "0"')
+    df = spark.createDataFrame(list(bodies.items()), "request_id string, body string")
+    records, rejects = parse_requests(df)
+    want = {k: "record values must be numbers" for k in bad} | {"no list": "records must contain at least 1 item", "word and extra": "extra fields not permitted in a record", "quoted cycle 0": "cycle must be an integer >= 1"}
+    assert {r.request_id: r.detail for r in rejects.collect()} == want
+    rows = {}
+    for r in records.collect():
+        rows.setdefault(r.request_id, []).append((r.arrival, r.unit_id, r.cycle, *(r[f"sensor_{i}"] for i in range(1, 22))))
+    assert set(rows) == set(bodies) - set(want) and len(rows) == 6
+    own = [(c - 1, 1, c, *(float(i) + c / 10 for i in range(1, 22))) for c in range(1, 7)]
+    assert all(sorted(r) == own for r in rows.values())
+    # strings only under a condition, and no function of each value (a lookup in a map, a test of each number)
+    plan = records._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapType(StringType,DoubleType") == 1 and plan.count("MapType(StringType,StringType") == 1
+    assert "CASE WHEN _again" in plan and "exists(" not in plan
+
+
 def test_request_files(spark, tmp_path):
     good = _sample()
     (tmp_path / "r1.json").write_text(json.dumps(good, indent=2))
