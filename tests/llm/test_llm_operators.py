@@ -11,8 +11,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from wearlog.llm import content_dedup, exact_topk, language_id, mixing, near_dups, packing, quotes, warc, wavelet, weak_labels
+from wearlog.llm import links as links_module
 from wearlog.llm.files import open_file
-from wearlog.llm.links import components
+from wearlog.llm.links import components, joined_further
 from wearlog.llm.tokens import TextEncoder, encode_column, vocabulary
 
 PATH = vocabulary("word_bpe_49k.json")
@@ -200,6 +201,33 @@ def test_components(spark):
     assert got == {**{i: 0 for i in range(21)}, 30: 30, 40: 30, 41: 30, 50: 50, 51: 50}
 
 
+def test_components_after_further_links(spark):
+    frame = lambda links: spark.createDataFrame(links, "a long, b long")
+    rows = lambda df: sorted((r.id, r.component) for r in df.collect())
+    old = [(5, 6), (6, 7), (1, 2), (20, 21), (None, 4)]
+    known = components(frame(old))
+    # known components joined by others' members, by a new node that is less or more than all; new nodes among themselves
+    new = [(7, 2), (0, 21), (30, 31), (31, 32), (40, 6), (8, 8), (9, None)]
+    assert rows(joined_further(known, frame(new))) == rows(components(frame(old + new)))
+    assert joined_further(known, frame([(5, 7), (2, 1), (3, 3), (None, 5)])) is known
+
+
+def test_near_duplicates_join_known_components_only_by_new_links(spark, monkeypatch):
+    """One family of edits and many texts that share a passage: rounds without a new link start no turns over all links, and few lists are left to them."""
+    monkeypatch.setattr(near_dups, "LIST", 6)
+    monkeypatch.setattr(near_dups, "FEW", 1)
+    rng, words = np.random.default_rng(11), [f"w{i}" for i in range(120)]
+    texts = [(i, " ".join([*words[: (k := int(rng.integers(0, 120)))], f"edit{i}", *words[k + 1 :]])) for i in range(30)]
+    texts += [(i, " ".join(words[:60] + [f"p{j}" for j in rng.permutation(60)])) for i in range(30, 60)]
+    written, write = [], near_dups.materialize
+    record = lambda df, name, *rest: written.append(name) or write(df, name, *rest)
+    monkeypatch.setattr(near_dups, "materialize", record)
+    monkeypatch.setattr(links_module, "materialize", record)
+    rows = near_dups.near_duplicates(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in rows) == brute_components(texts)
+    assert written.count("near-links") == 1 and written.count("components") <= 5 and len(written) <= 45, written
+
+
 def test_packing(docs, none):
     encode = library()
     rows = packing.pack(docs, PATH, end_id=1, with_ids=True).collect()

@@ -10,23 +10,26 @@ from wearlog.session import discard, materialize
 TURNS = 64
 
 
-def _mark(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+def _settled(edges: DataFrame) -> bool:
+    """Whether every node has one least neighbour, which has none itself (stars: the end of the turns)."""
+    up, down = F.lit(1).alias("up"), F.lit(0).alias("up")
+    ends = edges.select(F.col("u").alias("x"), up).unionByName(edges.select(F.col("v").alias("x"), down))
+    ups = ends.groupBy("x").agg(F.sum("up").alias("ups"), F.min("up").alias("least"))
+    return ups.where("ups > 1 OR ups = 1 AND least = 0").count() == 0
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(id, component) for every id in a link; component is the smallest id reachable.
 
     Large and small stars in turn (each node points its larger neighbours, then
-    its smaller ones, at the least id it sees) until nothing changes: a number of
+    its smaller ones, at the least id it sees) until there are only stars: a number of
     turns about the logarithm of a component's size. Each turn is written to the
     shared folder, and the one before it deleted, as is all but the result. Null ends and links of an id with itself count for nothing.
     """
     high, low = F.greatest(a, b).alias("u"), F.least(a, b).alias("v")
     edges = materialize(links.where(f"`{a}` <> `{b}`").select(high, low).distinct(), "links")
-    mark = _mark(edges)
     for _ in range(TURNS):
-        if not mark[0]:
+        if _settled(edges):
             break
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -35,12 +38,29 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         before, edges = edges, materialize(small.unionByName(least.withColumnRenamed("m", "v")).distinct(), "links")
         discard(before)
-        mark, last = _mark(edges), mark
-        if mark == last:
-            break
     else:
         raise RuntimeError("components did not settle")
     ends = edges.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
     out = materialize(edges.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(ends), "components")
     discard(edges)
     return out
+
+
+def joined_further(known: DataFrame, links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+    """``known``, a table of :func:`components`, after further links: only the known
+    components that a link joins, each as one node, go through the turns; without such
+    a link ``known`` itself."""
+    label = lambda x: known.select(F.col("id").alias(x), F.col("component").alias(f"c{x}"))
+    own = links.select(F.col(a).alias("a"), F.col(b).alias("b")).join(label("a"), "a", "left").join(label("b"), "b", "left")
+    own = own.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")).where("a <> b")
+    own = materialize(own.distinct(), "links")
+    if not own.count():
+        discard(own)
+        return known
+    roots = components(own)
+    to = roots.select(F.col("id").alias("component"), F.col("component").alias("root"))
+    moved = known.join(to, "component", "left").select("id", F.coalesce("root", "component").alias("component"))
+    fresh = roots.join(known, "id", "left_anti")
+    out = materialize(moved.unionByName(fresh.select("id", "component")), "components")
+    discard(own, roots)
+    return out

@@ -28,7 +28,9 @@ rounds over lists whose members are not all joined yet:
   rarest values of their own sets, too.
 
 Every pair of a list is thus linked, joined already, in a list of the next round, or
-excluded by proof. Lists left after ``ROUNDS`` rounds are met member by member.
+excluded by proof. Once all lists together have at most ``LIST`` pairs a set left, those
+are met at once; lists left after ``ROUNDS`` rounds are met member by member. Components
+already known are single nodes for further links.
 
 A pair goes on if the similarity estimated from the least 64 values of both
 sketches together is at most 4.5 standard errors too low. Exact counts come
@@ -51,7 +53,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wearlog.llm.links import components
+from wearlog.llm.links import components, joined_further
 from wearlog.llm.words import LOWER, chunks, hash_spans, mix, spans
 from wearlog.session import discard, materialize
 
@@ -98,10 +100,15 @@ class Rule(NamedTuple):
         """Percent: a set so much alike to a pivot is near none that is less than ``HALF`` alike to it."""
         return HALF + -(-100 * (self.united - self.shared) // self.united)
 
+    @property
+    def common(self) -> int:
+        """Of ``INDEXED`` least values, so many at least are shared with any partner."""
+        return int(INDEXED * self.share - 4.5 * (INDEXED * self.share * (1 - self.share)) ** 0.5)
+
     @property
     def often(self) -> int:
         """Of ``INDEXED`` values, so many in long lists that a class with fewer shares a value of a short list with any partner."""
-        return min(INDEXED // 2, int(INDEXED * self.share - 4.5 * (INDEXED * self.share * (1 - self.share)) ** 0.5))
+        return min(INDEXED // 2, self.common)
 
 
 _TURN = np.array([2 * j + 3 for j in range(WORDS)], np.uint64) * np.uint64(0x9E3779B97F4A7C15)
@@ -168,13 +175,13 @@ def _with_lengths(posts: DataFrame, key: str) -> DataFrame:
 
 
 def candidates(classes: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
-    """Distinct pairs (a, b) of class ids that the inverted lists bring together, and the ids of classes mostly in long lists."""
+    """Distinct pairs (a, b) of class ids that the inverted lists bring together, and the lists' posts of classes mostly in long lists."""
     posts = classes.where(f"n >= {rule.least}").select("id", "n", F.size("vals").alias("k"), F.explode(F.slice("vals", 1, INDEXED)).alias("v"))
     posts = materialize(_with_lengths(posts, "v"), "near-posts")
     # classes mostly made of values in long lists
     often = posts.where(f"df > {LIST}").groupBy("id").agg(F.countDistinct("v").alias("k_long"), F.max("k").alias("k"))
     often = often.where(f"{INDEXED} * k_long >= {rule.often} * least(k, {INDEXED}) and k_long >= 3")
-    return _short_pairs(posts.where(f"df <= {LIST}"), "v", rule).distinct(), materialize(often.select("id"), "near-often")
+    return _short_pairs(posts.where(f"df <= {LIST}"), "v", rule).distinct(), materialize(posts.join(often.select("id"), "id", "left_semi"), "near-often")
 
 
 def _prefixes(sets: DataFrame, most) -> DataFrame:
@@ -183,7 +190,11 @@ def _prefixes(sets: DataFrame, most) -> DataFrame:
     sets: sid, id, n, g (tells one sid's sets apart), vals, outer (to be met: pairs without such a set are not wanted) and what ``most`` is made of, k too.
     """
     vals = sets.withColumn("k", F.size("vals")).withColumn("most", most).where("most > 0")
-    vals = vals.select("sid", "id", "n", "g", "k", "most", "outer", F.explode("vals").alias("v"))
+    return _rarest(vals.select("sid", "id", "n", "g", "k", "most", "outer", F.explode("vals").alias("v")))
+
+
+def _rarest(vals: DataFrame) -> DataFrame:
+    """:func:`_prefixes` of sets given a row a value: sid, id, n, g, k, most, outer, v."""
     lists = vals.groupBy("v").agg(F.count("*").alias("df"), F.max("outer").alias("wanted")).where("df > 1 AND wanted").select("v", "df")
     common = vals.join(lists, "v").groupBy("sid", "id", "n", "g", "k", "most").agg(F.sort_array(F.collect_set(F.struct("df", "v"))).alias("vs"))
     left = F.greatest(F.col("most").cast("int") - (F.col("k") - F.size("vs")), F.lit(0))
@@ -195,6 +206,11 @@ def _own_prefix(share: float):
     return F.col("k") - F.ceil(F.col("k") * share - 1e-9).cast("int") + 1
 
 
+def _own(sets: DataFrame) -> DataFrame:
+    """Whole sets, each to be met with any other, for :func:`_prefixes`."""
+    return sets.select("sid", "id", "n", F.lit(0).cast("long").alias("g"), "vals", F.lit(True).alias("outer"))
+
+
 def _apart(posts: DataFrame, joined: DataFrame) -> DataFrame:
     """The posts of lists whose members are in several groups, with the group, the list's largest group, its members outside that and its length."""
     rows = posts.join(joined, "id", "left").withColumn("own", F.coalesce("component", "id")).drop("component")
@@ -251,17 +267,26 @@ def _against_pivots(apart: DataFrame, whole: DataFrame, rule: Rule) -> DataFrame
     return both.select("sid", "id", "n", "p", "pid", "pn", "linked", "alike", F.when(F.col("alike") >= HALF, differs).alias("vals"))
 
 
-def _next_lists(met: DataFrame, whole: DataFrame, rule: Rule) -> DataFrame:
-    """Lists of the next round: by rarest differences from a pivot, or by a set's own rarest values."""
+def _next_lists(met: DataFrame, whole: DataFrame, joined: DataFrame, rule: Rule) -> DataFrame:
+    """Lists of the next round: by rarest differences from a pivot, or by a set's own rarest values.
+
+    Only pairs of different components are wanted: differences from a pivot if a set
+    half alike to it is not in its component, own values of the sets far from a pivot
+    if they are of several components and one is not half alike."""
     s, u = rule.shared, rule.united
-    by_pivot = met.where("vals IS NOT NULL").select("sid", "id", "n", F.col("p").alias("g"), "pn", "linked", "vals", (~F.col("linked")).alias("outer"))
+    label = lambda x, c: joined.select(F.col("id").alias(x), F.col("component").alias(c))
+    sides = met.join(label("id", "own"), "id", "left").join(label("pid", "home"), "pid", "left")
+    sides = sides.withColumn("own", F.coalesce("own", "id")).withColumn("outer", F.col("own") != F.coalesce("home", "pid"))
+    split = sides.where("vals IS NOT NULL AND outer").select("p").distinct()
+    by_pivot = sides.join(split, "p", "left_semi").where("vals IS NOT NULL").select("sid", "id", "n", F.col("p").alias("g"), "pn", "linked", "vals", "outer")
     k = F.col("k")
     near = F.floor((k * (u + s) - (u - s) * (F.col("n") - F.col("pn"))) / (2 * (u + s))) + 1
     other = F.ceil((k * s - (u - s) * F.col("n")) / s)
     need = F.greatest(F.when(F.col("linked"), near).otherwise(other), F.lit(1))
-    far = met.where(F.col("alike") < rule.wide).select("sid").distinct()
-    own = whole.join(far, "sid", "left_semi").select("sid", "id", "n", F.lit(0).cast("long").alias("g"), "vals", F.lit(True).alias("outer"))
-    return _prefixes(by_pivot, k - need + 1).unionByName(_prefixes(own, _own_prefix(rule.share)))
+    away = sides.where(F.col("alike") < rule.wide).select("sid", "p", "own", "alike")
+    mixed = away.groupBy("p").agg(F.min("own").alias("lo"), F.max("own").alias("hi"), F.min("alike").alias("least"))
+    far = away.join(mixed.where((F.col("lo") != F.col("hi")) & (F.col("least") < HALF)), "p", "left_semi").select("sid").distinct()
+    return _prefixes(by_pivot, k - need + 1).unionByName(_prefixes(_own(whole.join(far, "sid", "left_semi")), _own_prefix(rule.share)))
 
 
 def _with_sets(pairs: DataFrame, sets: DataFrame, key: str = "id") -> DataFrame:
@@ -308,27 +333,30 @@ def _wanted_sets(slim: DataFrame, pairs: DataFrame) -> DataFrame:
     return scan.mapInArrow(lambda b: _sets(chosen(b), None), SET_ROWS).select(F.col("doc_id").alias("id"), "n", "vals")
 
 
-def _meet_the_rest(slim: DataFrame, classes: DataFrame, often: DataFrame, links: DataFrame, joined: DataFrame, rule: Rule) -> DataFrame:
-    """The components after every pair of the classes mostly in long lists is linked, joined without, or excluded."""
-    sketched = classes.join(often, "id", "left_semi").withColumns({"sid": F.col("id"), "g": F.xxhash64("digest"), "outer": F.lit(True)})
-    apart = _apart(_prefixes(sketched.select("sid", "id", "n", "g", "vals", "outer"), _own_prefix(rule.estimate)), joined)
-    first = materialize(apart.select("v", "id").distinct(), "near-first")
-    open_ids = first.select("id").distinct()
+def _meet_the_rest(slim: DataFrame, often: DataFrame, joined: DataFrame, rule: Rule) -> DataFrame:
+    """The components after every pair of the classes mostly in long lists (``often``: their posts) is linked, joined without, or excluded."""
+    k = F.least("k", F.lit(INDEXED))
+    vals = often.select(F.col("id").alias("sid"), "id", "n", F.lit(0).alias("g"), k.alias("k"), F.lit(True).alias("outer"), "v")
+    apart = _apart(_rarest(vals.withColumn("most", _own_prefix(rule.common / INDEXED))), joined)
+    open_ids = materialize(apart.select("id").distinct(), "near-open")
     whole = _wanted_sets(slim, open_ids.select(F.col("id").alias("a"), F.col("id").alias("b"))).join(open_ids, "id", "left_semi")
     whole = materialize(whole.withColumn("sid", F.xxhash64("id", "vals")).dropDuplicates(["sid"]).select("sid", "id", "n", "vals"), "near-sets")
-    posts = first.join(whole.select("sid", "id", "n"), "id").select("v", "sid", "id", "n")
+    posts = materialize(_prefixes(_own(whole), _own_prefix(rule.share)), "near-lists")
+    most = LIST * whole.count()
     for _ in range(ROUNDS):
         apart = materialize(_apart(posts, joined), "near-apart")
-        if apart.isEmpty():
+        left = apart.agg(F.sum("outside")).first()[0]
+        if not left:
             return joined
-        short = apart.where(_direct())
+        if left <= most:
+            return joined_further(joined, _linked(_all_across(apart, rule), whole, rule, "sid"))
         met = materialize(_against_pivots(apart, whole, rule), "near-pivots")
-        found = _linked(_all_across(short, rule), whole, rule, "sid")
+        found = _linked(_all_across(apart.where(_direct()), rule), whole, rule, "sid")
         near = met.where("linked").select(F.col("pid").alias("a"), F.col("id").alias("b"))
-        old = links, joined, posts, apart, met
-        links = materialize(links.unionByName(found).unionByName(near).distinct(), "near-links")
-        joined, posts = components(links), materialize(_next_lists(met, whole, rule), "near-lists")
-        discard(*old)
+        old = joined, posts, apart
+        joined = joined_further(joined, found.unionByName(near))
+        posts = materialize(_next_lists(met, whole, joined, rule), "near-lists")
+        discard(*(x for x in old if x is not joined), met)
     centres = ROUND
     while True:
         apart = materialize(_apart(posts, joined), "near-apart")
@@ -337,8 +365,7 @@ def _meet_the_rest(slim: DataFrame, classes: DataFrame, often: DataFrame, links:
             return joined
         place = F.row_number().over(Window.partitionBy("v").orderBy(F.xxhash64("sid"), "sid"))
         chosen = apart.where("own <> home").withColumn("place", place).where(F.col("place") <= centres)
-        links = materialize(links.unionByName(_linked(_across(chosen, apart, rule), whole, rule, "sid")), "near-links")
-        joined = components(links)
+        joined = joined_further(joined, _linked(_across(chosen, apart, rule), whole, rule, "sid"))
         if outside <= centres:
             return joined
         posts, centres = posts.join(apart.where(F.col("outside") > centres).select("v").distinct(), "v", "left_semi"), centres * GROWTH
@@ -364,11 +391,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     label = lambda x: first.select(F.col("id").alias(x), F.col("component").alias(f"c{x}"))
     rest = pairs.join(best, ["a", "b"], "left_anti").join(label("a"), "a", "left").join(label("b"), "b", "left")
     rest = rest.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
-    more = materialize(_linked(rest, sets, rule), "near-links")
-    links = materialize(links.unionByName(more), "near-links")
-    joined = components(links)
-    discard(pairs, sets, first, more)
-    joined = _meet_the_rest(slim, classes, often, links, joined, rule)
+    joined = joined_further(first, _linked(rest, sets, rule))
+    discard(pairs, sets, links)
+    joined = _meet_the_rest(slim, often, joined, rule)
     known = classes.select("digest", "id").join(joined, "id", "left").select("digest", F.col("id").alias("class_id"), F.coalesce("component", "id").alias("component_id"))
     out = rows.select("doc_id", "n", "digest").join(known, "digest", "left")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
