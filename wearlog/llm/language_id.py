@@ -27,7 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wearlog.llm.words import LOWER, bucket_sums, chunks, gram_buckets
+from wearlog.llm.words import LOWER, SMALL_CHUNK, bucket_sums, chunks, gram_buckets
+from wearlog.session import small_batches
 
 PER_LANG = 1500
 GRAMS = 512
@@ -72,14 +73,15 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def _sample_grams(raw: np.ndarray, bounds: np.ndarray) -> list[list[int]]:
-    data, out = FOLD[raw], [[] for _ in range(len(bounds) - 1)]
+def _sample_grams(raw: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+    """Each text's grams as big-endian 32-bit integers, whose bytes sort as the numbers do."""
+    data, out = FOLD[raw], [b""] * (len(bounds) - 1)
     for n in ORDERS:
         grams, sizes = gram_buckets(data, bounds, n, BITS)
         at = np.cumsum(sizes) - sizes
-        for row, (a, k) in zip(out, zip(at.tolist(), sizes.tolist(), strict=True), strict=True):
+        for i, (a, k) in enumerate(zip(at.tolist(), sizes.tolist(), strict=True)):
             take = min(k, GRAMS // len(ORDERS))
-            row += grams[a + (np.arange(take) * k) // max(take, 1)].tolist()
+            out[i] += grams[a + (np.arange(take) * k) // max(take, 1)].astype(">u4").tobytes()
     return out
 
 
@@ -133,25 +135,26 @@ def calibrate(logits: np.ndarray, labels: np.ndarray, lost: float = LOST) -> tup
 
 def train(docs: DataFrame, per_lang: int = PER_LANG) -> Model:
     """A model from the documents whose crc32(id) mod 3 is not 1 and that have a language."""
+    small_batches(docs.sparkSession)
     pool = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang").where("lang IS NOT NULL AND doc_id IS NOT NULL AND crc32(cast(doc_id AS string)) % 3 <> 1")
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
     chosen = pool.dropDuplicates(["doc_id", "lang"]).withColumn("place", place).where(F.col("place") <= per_lang).select("doc_id", "lang")
 
     def featurise(batches):
         for batch in batches:
-            for first, end, raw, bounds in chunks(batch.column(2)):
+            for first, end, raw, bounds in chunks(batch.column(2), SMALL_CHUNK):
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, end - first), batch.column(1).slice(first, end - first), pa.array(_sample_grams(raw, bounds), pa.list_(pa.int32()))],
+                    [batch.column(0).slice(first, end - first), batch.column(1).slice(first, end - first), pa.array(_sample_grams(raw, bounds), pa.binary())],
                     names=["doc_id", "lang", "grams"],
                 )
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", F.col("text").cast("string").alias("text")).where("text IS NOT NULL")
-    rows = texts.join(chosen, ["doc_id", "lang"], "left_semi").mapInArrow(featurise, "doc_id long, lang string, grams array<int>").collect()
+    rows = texts.join(chosen, ["doc_id", "lang"], "left_semi").mapInArrow(featurise, "doc_id long, lang string, grams binary").collect()
     rows.sort(key=lambda r: (r.lang, r.doc_id, r.grams))
     langs = sorted({r.lang for r in rows})
     if not langs:
         return Model([UND], np.zeros((1, 1 << BITS), np.float32), np.zeros(1), 1.0, 1.0)
-    grams = [np.array(r.grams, np.int64) for r in rows]
+    grams = [np.frombuffer(r.grams, ">u4").astype(np.int32) for r in rows]
     labels = np.array([langs.index(r.lang) for r in rows])
     held = np.random.default_rng(11).random(len(rows)) < 0.2
     train_on = np.flatnonzero(~held) if (~held).any() else np.arange(len(rows))
@@ -165,7 +168,7 @@ def train(docs: DataFrame, per_lang: int = PER_LANG) -> Model:
 
 def _answers(model: Model, col: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     langs, scores = [], np.zeros(len(col))
-    for first, end, raw, bounds in chunks(col):
+    for first, end, raw, bounds in chunks(col, SMALL_CHUNK):
         prob = model.scores(raw, bounds)
         best = prob.argmax(axis=1)
         for i, text in enumerate(col.slice(first, end - first).to_pylist()):
@@ -181,6 +184,7 @@ def _answers(model: Model, col: pa.Array) -> tuple[list[str], np.ndarray, np.nda
 def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """One row per document: doc_id, held_out, lang_pred, score, rejected."""
     model = model or train(docs)
+    small_batches(docs.sparkSession)
 
     def predict(batches):
         for batch in batches:

@@ -54,8 +54,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wearlog.llm.links import components, joined_further
-from wearlog.llm.words import LOWER, chunks, hash_spans, mix, spans
-from wearlog.session import discard, materialize
+from wearlog.llm.words import LOWER, SMALL_CHUNK, chunks, hash_spans, mix, spans
+from wearlog.session import discard, materialize, small_batches
 
 WORDS = 5
 SHARED, UNITED = 85, 100
@@ -141,7 +141,7 @@ def _sets(batches, size: int | None):
     """Rows (doc_id, n, digest, values): the least ``size`` values, or all."""
     for batch in batches:
         ids = batch.column(0)
-        for first, end, raw, bounds in chunks(batch.column(1)):
+        for first, end, raw, bounds in chunks(batch.column(1), SMALL_CHUNK):
             sets = list(shingle_sets(raw, bounds))
             part = [s[:size] for s in sets]
             yield pa.RecordBatch.from_arrays(
@@ -376,6 +376,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rule = Rule(*similarity)
     if not 0.75 <= rule.share <= 1:
         raise ValueError("similarity must be from 3/4 to 1")
+    small_batches(docs.sparkSession)
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     rows = materialize(slim.mapInArrow(lambda b: _sets(b, SKETCH), SET_ROWS), "near-sketches")
     classes = rows.where("digest IS NOT NULL AND doc_id IS NOT NULL").groupBy("digest").agg(

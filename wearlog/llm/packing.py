@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wearlog.llm.tokens import encode_column
-from wearlog.session import materialize
+from wearlog.session import materialize, small_batches
 
 CAPACITY = 4096
 OPEN = 1024
@@ -124,6 +124,7 @@ def pack(docs: DataFrame, path: str, end_id: int = 1, capacity: int = CAPACITY,
 
     ddl = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
     place = ", sequence_id long, `offset` long, closed boolean"
+    small_batches(docs.sparkSession)
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     done = materialize(slim.mapInArrow(first_pass, ddl + place), "packed")
     left = done.where("NOT closed").select(*[n for n, _ in fields])

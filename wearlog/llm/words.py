@@ -14,6 +14,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 CHUNK_BYTES = 4 << 20
+#: For steps whose workers stay beside others in one executor: a quarter of the memory, no slower.
+SMALL_CHUNK = 1 << 20
 
 WHITE = np.zeros(256, bool)
 WHITE[[9, 10, 11, 12, 13, 32]] = True
