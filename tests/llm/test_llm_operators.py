@@ -228,6 +228,52 @@ def test_near_duplicates_join_known_components_only_by_new_links(spark, monkeypa
     assert written.count("near-links") == 1 and written.count("components") <= 5 and len(written) <= 45, written
 
 
+def test_near_duplicates_deal_out_only_differences_that_others_share(spark, monkeypatch):
+    """Edits of one text, each with words of its own, and a family too far from it to link: unique words and sets that nothing outside is near to make no rows."""
+    monkeypatch.setattr(near_dups, "LIST", 6)
+    monkeypatch.setattr(near_dups, "FEW", 1)
+    rng, words = np.random.default_rng(13), [f"w{i}" for i in range(120)]
+    texts = []
+    for i in range(60):
+        own = list(words) if i < 40 else [*words[:90], *(f"o{k}" for k in range(30))]
+        for k in range(i % 3 + 1):
+            own[int(rng.integers(90))] = f"edit{i}_{k}"
+        texts.append((i, " ".join(own)))
+    dealt, prefixes = [], near_dups._prefixes
+
+    def record(sets, most):
+        dealt.append(sets.where("g <> 0").selectExpr("sum(size(vals))").first()[0] or 0)
+        return prefixes(sets, most)
+
+    monkeypatch.setattr(near_dups, "_prefixes", record)
+    rows = near_dups.near_duplicates(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in rows} == jaccard_groups(texts, (85, 100))
+    assert dealt and sum(dealt) <= 3000, dealt
+
+
+def test_few_links_are_one_partition(spark, monkeypatch):
+    """A step over few links is a task, not one for each shuffle partition; many are dealt out, with the same result."""
+    links = [(i, i + 1) for i in range(30)] + [(50, 51), (60, 51)]
+    frame = lambda rows: spark.createDataFrame(rows, "a long, b long").repartition(3)
+    found, files = [], []
+    with_conf = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "5"}
+    before = {k: spark.conf.get(k) for k in with_conf}
+    try:
+        for k, v in with_conf.items():
+            spark.conf.set(k, v)
+        for rows in (links_module.TOGETHER, 3):
+            monkeypatch.setattr(links_module, "TOGETHER", rows)
+            known = components(frame(links))
+            further = joined_further(known, frame([(31, 30), (70, 60)]))
+            found.append([sorted((r.id, r.component) for r in df.collect()) for df in (known, further)])
+            files.append([len(df.inputFiles()) for df in (known, further)])
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert found[0] == found[1] and files[0] == [1, 1] and min(files[1]) > 1
+    assert dict(found[0][1])[31] == 0 and dict(found[0][1])[70] == 50
+
+
 def test_packing(docs, none):
     encode = library()
     rows = packing.pack(docs, PATH, end_id=1, with_ids=True).collect()

@@ -8,12 +8,20 @@ from pyspark.sql import functions as F
 from wearlog.session import discard, materialize
 
 TURNS = 64
+#: Rows (of two ids, so 4 MB) up to which links are one partition, not a task for each of ``spark.sql.shuffle.partitions`` in every step of a turn.
+TOGETHER = 1 << 18
 
 
-def _settled(edges: DataFrame) -> bool:
+def together(df: DataFrame, few: bool) -> DataFrame:
+    """``df`` as one partition if it has ``few`` rows: what follows needs no exchange."""
+    return df.coalesce(1) if few else df
+
+
+def _settled(edges: DataFrame, few: bool) -> bool:
     """Whether every node has one least neighbour, which has none itself (stars: the end of the turns)."""
     up, down = F.lit(1).alias("up"), F.lit(0).alias("up")
     ends = edges.select(F.col("u").alias("x"), up).unionByName(edges.select(F.col("v").alias("x"), down))
+    ends = together(ends, few)
     ups = ends.groupBy("x").agg(F.sum("up").alias("ups"), F.min("up").alias("least"))
     return ups.where("ups > 1 OR ups = 1 AND least = 0").count() == 0
 
@@ -24,24 +32,26 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     Large and small stars in turn (each node points its larger neighbours, then
     its smaller ones, at the least id it sees) until there are only stars: a number of
     turns about the logarithm of a component's size. Each turn is written to the
-    shared folder, and the one before it deleted, as is all but the result. Null ends and links of an id with itself count for nothing.
+    shared folder, and the one before it deleted, as is all but the result. At most
+    ``TOGETHER`` links are one partition. Null ends and links of an id with itself count for nothing.
     """
     high, low = F.greatest(a, b).alias("u"), F.least(a, b).alias("v")
     edges = materialize(links.where(f"`{a}` <> `{b}`").select(high, low).distinct(), "links")
+    few = edges.count() <= TOGETHER
     for _ in range(TURNS):
-        if _settled(edges):
+        if _settled(edges, few):
             break
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        both = together(edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))), few)
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        before, edges = edges, materialize(small.unionByName(least.withColumnRenamed("m", "v")).distinct(), "links")
+        before, edges = edges, materialize(together(small.unionByName(least.withColumnRenamed("m", "v")), few).distinct(), "links")
         discard(before)
     else:
         raise RuntimeError("components did not settle")
-    ends = edges.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
-    out = materialize(edges.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(ends), "components")
+    ends = together(edges, few).select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
+    out = materialize(together(edges.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(ends), few), "components")
     discard(edges)
     return out
 
@@ -54,13 +64,16 @@ def joined_further(known: DataFrame, links: DataFrame, a: str = "a", b: str = "b
     own = links.select(F.col(a).alias("a"), F.col(b).alias("b")).join(label("a"), "a", "left").join(label("b"), "b", "left")
     own = own.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")).where("a <> b")
     own = materialize(own.distinct(), "links")
-    if not own.count():
+    n = own.count()
+    if not n:
         discard(own)
         return known
+    few = n + known.count() <= TOGETHER
     roots = components(own)
     to = roots.select(F.col("id").alias("component"), F.col("component").alias("root"))
+    known, to, roots_now = together(known, few), together(to, few), together(roots, few)
     moved = known.join(to, "component", "left").select("id", F.coalesce("root", "component").alias("component"))
-    fresh = roots.join(known, "id", "left_anti")
-    out = materialize(moved.unionByName(fresh.select("id", "component")), "components")
+    fresh = roots_now.join(known, "id", "left_anti")
+    out = materialize(together(moved.unionByName(fresh.select("id", "component")), few), "components")
     discard(own, roots)
     return out

@@ -23,6 +23,7 @@ rounds over lists whose members are not all joined yet:
   ``|Dz| - (1 - t) / t |z|`` of any other (t the similarity, b = (1 - t) / (1 + t)).
   So one of each set's rarest differences (all but that many and one more) is
   shared, and those make the next round's lists: edits instead of common text.
+  A set's values that no other has are in no list: they count, but are not dealt out.
 * A member less than half alike to the pivot cannot be near one that is 1.5 - t alike
   or more (Jaccard distance is a metric); those less alike than that have lists by the
   rarest values of their own sets, too.
@@ -53,7 +54,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wearlog.llm.links import components, joined_further
+from wearlog.llm.links import components, joined_further, together
 from wearlog.llm.words import LOWER, SMALL_CHUNK, chunks, hash_spans, mix, spans
 from wearlog.session import discard, materialize, small_batches
 
@@ -72,6 +73,8 @@ HALF = 50
 SALT = 32
 #: Members of a long list that are centres in the first further round, and the factor from round to round.
 ROUND, GROWTH = 16, 16
+#: Values of all open sets (8 MB) up to which the rounds' tables are one partition each.
+OPEN_VALUES = 1 << 20
 #: Bits of the map of ids whose full sets are wanted (half a megabyte at any size of input).
 MAP_BITS = 1 << 22
 
@@ -187,18 +190,22 @@ def candidates(classes: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
 def _prefixes(sets: DataFrame, most) -> DataFrame:
     """Lists (v, sid, id, n) of each set's rarest values: the first ``most`` of its k, those that no set to be met has first, then by number of sets.
 
-    sets: sid, id, n, g (tells one sid's sets apart), vals, outer (to be met: pairs without such a set are not wanted) and what ``most`` is made of, k too.
+    sets: sid, id, n, g (tells one sid's sets apart), k, vals (its values, those aside that no other set has), outer (to be met: pairs without such a set are not wanted) and what ``most`` is made of.
     """
-    vals = sets.withColumn("k", F.size("vals")).withColumn("most", most).where("most > 0")
-    return _rarest(vals.select("sid", "id", "n", "g", "k", "most", "outer", F.explode("vals").alias("v")))
+    vals = sets.withColumn("most", most).where("most > 0")
+    return _first(_common(vals.select("sid", "id", "n", "g", "k", "most", "outer", F.explode("vals").alias("v"))))
 
 
-def _rarest(vals: DataFrame) -> DataFrame:
-    """:func:`_prefixes` of sets given a row a value: sid, id, n, g, k, most, outer, v."""
+def _common(vals: DataFrame) -> DataFrame:
+    """Of sets given a row a value (sid, id, n, g, k, most, outer, v): vs, the values (df, v) that sets to be met and others share, the rarest first."""
     lists = vals.groupBy("v").agg(F.count("*").alias("df"), F.max("outer").alias("wanted")).where("df > 1 AND wanted").select("v", "df")
-    common = vals.join(lists, "v").groupBy("sid", "id", "n", "g", "k", "most").agg(F.sort_array(F.collect_set(F.struct("df", "v"))).alias("vs"))
-    left = F.greatest(F.col("most").cast("int") - (F.col("k") - F.size("vs")), F.lit(0))
-    return common.select("sid", "id", "n", F.explode(F.slice("vs", F.lit(1), left)).alias("x")).select(F.col("x.v").alias("v"), "sid", "id", "n").distinct()
+    return vals.join(lists, "v").groupBy("sid", "id", "n", "g", "k", "most").agg(F.sort_array(F.collect_set(F.struct("df", "v"))).alias("vs"))
+
+
+def _first(common: DataFrame) -> DataFrame:
+    """The lists (v, sid, id, n) of the first ``most`` values of sets given by :func:`_common`."""
+    left = F.greatest(F.col("most").cast("int") - (F.col("k") - F.size("vs")), F.lit(0)).cast("int")
+    return common.select("sid", "id", "n", F.explode(F.slice("vs", F.lit(1), left)).alias("x")).select(F.col("x.v").alias("v"), "sid", "id", "n")
 
 
 def _own_prefix(share: float):
@@ -207,8 +214,8 @@ def _own_prefix(share: float):
 
 
 def _own(sets: DataFrame) -> DataFrame:
-    """Whole sets, each to be met with any other, for :func:`_prefixes`."""
-    return sets.select("sid", "id", "n", F.lit(0).cast("long").alias("g"), "vals", F.lit(True).alias("outer"))
+    """Sets, each to be met with any other, for :func:`_prefixes`."""
+    return sets.select("sid", "id", "n", F.lit(0).cast("long").alias("g"), F.col("n").alias("k"), "vals", F.lit(True).alias("outer"))
 
 
 def _apart(posts: DataFrame, joined: DataFrame) -> DataFrame:
@@ -249,7 +256,7 @@ def _direct() -> str:
 
 
 def _against_pivots(apart: DataFrame, whole: DataFrame, rule: Rule) -> DataFrame:
-    """Each member of a long list against the list's pivot: sid, id, n, p (the pivot's sid), pid, pn, linked, alike (percent), vals (the difference's values, if half alike)."""
+    """Each member of a long list against the list's pivot: sid, id, n, p (the pivot's sid), pid, pn, linked, alike (percent), k (the difference's size), vals (its values that two sets of ``whole`` have, if half alike), lacked (how many more of the pivot's values no other set has: all members lack them)."""
     long = apart.where(f"NOT {_direct()}")
     weight = long.groupBy("sid").agg(F.count("*").alias("lists"))
     pivots = long.join(weight, "sid").groupBy("v").agg(F.max_by("sid", F.struct("lists", -F.col("id"), "sid")).alias("p"))
@@ -264,29 +271,39 @@ def _against_pivots(apart: DataFrame, whole: DataFrame, rule: Rule) -> DataFrame
     both = both.withColumn("linked", F.col("shared") * rule.united >= united * rule.shared).withColumn("alike", F.floor(100 * F.col("shared") / united))
     signed = lambda c, sign: F.transform(c, lambda x: F.xxhash64(F.col("p"), x, F.lit(sign)))
     differs = F.concat(signed(F.array_except("vals", "pv"), 1), signed(F.array_except("pv", "vals"), -1))
-    return both.select("sid", "id", "n", "p", "pid", "pn", "linked", "alike", F.when(F.col("alike") >= HALF, differs).alias("vals"))
+    return both.select("sid", "id", "n", "p", "pid", "pn", "linked", "alike", (F.col("n") + F.col("pn") - 2 * F.col("shared")).alias("k"), (F.col("pn") - F.size("pv")).alias("lacked"), F.when(F.col("alike") >= HALF, differs).alias("vals"))
 
 
 def _next_lists(met: DataFrame, whole: DataFrame, joined: DataFrame, rule: Rule) -> DataFrame:
     """Lists of the next round: by rarest differences from a pivot, or by a set's own rarest values.
 
     Only pairs of different components are wanted: differences from a pivot if a set
-    half alike to it is not in its component, own values of the sets far from a pivot
-    if they are of several components and one is not half alike."""
+    half alike to it is not in its component (of the pivot's component those that may be
+    near such a set by size and likeness to the pivot), own values of the sets far from a
+    pivot if they are of several components and one is not half alike."""
     s, u = rule.shared, rule.united
     label = lambda x, c: joined.select(F.col("id").alias(x), F.col("component").alias(c))
     sides = met.join(label("id", "own"), "id", "left").join(label("pid", "home"), "pid", "left")
     sides = sides.withColumn("own", F.coalesce("own", "id")).withColumn("outer", F.col("own") != F.coalesce("home", "pid"))
-    split = sides.where("vals IS NOT NULL AND outer").select("p").distinct()
-    by_pivot = sides.join(split, "p", "left_semi").where("vals IS NOT NULL").select("sid", "id", "n", F.col("p").alias("g"), "pn", "linked", "vals", "outer")
+    half = sides.where("vals IS NOT NULL")
+    outer = half.where("outer").groupBy("p").agg(
+        F.min("alike").alias("alike_from"), F.max("alike").alias("alike_to"), F.min("n").alias("n_from"), F.max("n").alias("n_to")
+    )
+    # near sets are this much alike to a pivot, too (percent, rounded down)
+    reach = 1 - (100 * (s - u)) // u
+    may = F.col("alike").between(F.col("alike_from") - reach, F.col("alike_to") + reach) & (F.col("n") * u >= F.col("n_from") * s) & (F.col("n") * s <= F.col("n_to") * u)
+    by_pivot = half.join(outer, "p").where(F.col("outer") | may).select("sid", "id", "n", F.col("p").alias("g"), "pn", "linked", "k", "lacked", "vals", "outer")
     k = F.col("k")
     near = F.floor((k * (u + s) - (u - s) * (F.col("n") - F.col("pn"))) / (2 * (u + s))) + 1
     other = F.ceil((k * s - (u - s) * F.col("n")) / s)
     need = F.greatest(F.when(F.col("linked"), near).otherwise(other), F.lit(1))
+    # values that all members lack are the last of every prefix, and one list
+    by_pivot = by_pivot.withColumn("first", k - need + 1).withColumn("k", k - F.col("lacked"))
+    by_all = by_pivot.where("first > k").select(F.xxhash64("g").alias("v"), "sid", "id", "n")
     away = sides.where(F.col("alike") < rule.wide).select("sid", "p", "own", "alike")
     mixed = away.groupBy("p").agg(F.min("own").alias("lo"), F.max("own").alias("hi"), F.min("alike").alias("least"))
     far = away.join(mixed.where((F.col("lo") != F.col("hi")) & (F.col("least") < HALF)), "p", "left_semi").select("sid").distinct()
-    return _prefixes(by_pivot, k - need + 1).unionByName(_prefixes(_own(whole.join(far, "sid", "left_semi")), _own_prefix(rule.share)))
+    return _prefixes(by_pivot, F.col("first")).unionByName(by_all).unionByName(_prefixes(_own(whole.join(far, "sid", "left_semi")), _own_prefix(rule.share)))
 
 
 def _with_sets(pairs: DataFrame, sets: DataFrame, key: str = "id") -> DataFrame:
@@ -337,25 +354,31 @@ def _meet_the_rest(slim: DataFrame, often: DataFrame, joined: DataFrame, rule: R
     """The components after every pair of the classes mostly in long lists (``often``: their posts) is linked, joined without, or excluded."""
     k = F.least("k", F.lit(INDEXED))
     vals = often.select(F.col("id").alias("sid"), "id", "n", F.lit(0).alias("g"), k.alias("k"), F.lit(True).alias("outer"), "v")
-    apart = _apart(_rarest(vals.withColumn("most", _own_prefix(rule.common / INDEXED))), joined)
+    apart = _apart(_first(_common(vals.withColumn("most", _own_prefix(rule.common / INDEXED)))).distinct(), joined)
     open_ids = materialize(apart.select("id").distinct(), "near-open")
-    whole = _wanted_sets(slim, open_ids.select(F.col("id").alias("a"), F.col("id").alias("b"))).join(open_ids, "id", "left_semi")
-    whole = materialize(whole.withColumn("sid", F.xxhash64("id", "vals")).dropDuplicates(["sid"]).select("sid", "id", "n", "vals"), "near-sets")
-    posts = materialize(_prefixes(_own(whole), _own_prefix(rule.share)), "near-lists")
-    most = LIST * whole.count()
+    full = _wanted_sets(slim, open_ids.select(F.col("id").alias("a"), F.col("id").alias("b"))).join(open_ids, "id", "left_semi")
+    full = materialize(full.withColumn("sid", F.xxhash64("id", "vals")).dropDuplicates(["sid"]).select("sid", "id", "n", "vals"), "near-sets")
+    # a set's values that no other open set has count by n and k alone from here on
+    own = _own(full).withColumn("most", _own_prefix(rule.share))
+    common = materialize(_common(own.select("sid", "id", "n", "g", "k", "most", "outer", F.explode("vals").alias("v"))), "near-common")
+    open_sets, values = common.agg(F.count("*"), F.coalesce(F.sum(F.size("vs")), F.lit(0))).first()
+    few, most = values <= OPEN_VALUES, LIST * open_sets
+    whole = common.select("sid", "id", "n", F.col("vs.v").alias("vals"))
+    posts, at_hand = materialize(_first(together(common, few)), "near-lists"), together(whole, few)
+    discard(open_ids, full)
     for _ in range(ROUNDS):
-        apart = materialize(_apart(posts, joined), "near-apart")
+        apart = materialize(_apart(together(posts, few), joined), "near-apart")
         left = apart.agg(F.sum("outside")).first()[0]
         if not left:
             return joined
         if left <= most:
             return joined_further(joined, _linked(_all_across(apart, rule), whole, rule, "sid"))
-        met = materialize(_against_pivots(apart, whole, rule), "near-pivots")
+        met = materialize(_against_pivots(together(apart, few), at_hand, rule), "near-pivots")
         found = _linked(_all_across(apart.where(_direct()), rule), whole, rule, "sid")
         near = met.where("linked").select(F.col("pid").alias("a"), F.col("id").alias("b"))
         old = joined, posts, apart
         joined = joined_further(joined, found.unionByName(near))
-        posts = materialize(_next_lists(met, whole, joined, rule), "near-lists")
+        posts = materialize(_next_lists(together(met, few), at_hand, joined, rule), "near-lists")
         discard(*(x for x in old if x is not joined), met)
     centres = ROUND
     while True:
