@@ -274,6 +274,28 @@ def test_few_links_are_one_partition(spark, monkeypatch):
     assert dict(found[0][1])[31] == 0 and dict(found[0][1])[70] == 50
 
 
+def test_few_links_are_one_job(spark, monkeypatch):
+    """A chain, whose stars take several turns: the links and the components are all that is written."""
+    written, write = [], links_module.materialize
+    monkeypatch.setattr(links_module, "materialize", lambda df, name, *rest: written.append(name) or write(df, name, *rest))
+    frame = lambda rows: spark.createDataFrame(rows, "a long, b long").repartition(3)
+    known = components(frame([(i, i + 1) for i in range(40)] + [(-5, None)]))
+    assert {(r.id, r.component) for r in known.collect()} == {(i, 0) for i in range(41)} and written == ["links", "components"]
+    further = joined_further(known, frame([(40, -9), (90, 91)]))
+    want = {(i, -9) for i in [-9, *range(41)]} | {(90, 90), (91, 90)}
+    assert {(r.id, r.component) for r in further.collect()} == want and written == ["links", "components"] * 2
+    assert components(frame([(3, 3), (None, 4)])).count() == 0
+
+
+def test_sets_are_not_sent_through_the_driver(spark):
+    """Joins of tables that hold arrays: Spark's estimate of their size is far too low."""
+    sets = spark.range(4).selectExpr("id", "id AS sid", "id + 2 AS n", "array(1L, 2L, id) AS vals")
+    lists = sets.selectExpr("id % 2 AS v", "sid", "id", "n", "id AS own", "0L AS home")
+    pairs = spark.createDataFrame([(0, 1), (2, 3)], "a long, b long")
+    for df in (near_dups._with_sets(pairs, sets), near_dups._all_across(lists, near_dups.Rule())):
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_packing(docs, none):
     encode = library()
     rows = packing.pack(docs, PATH, end_id=1, with_ids=True).collect()

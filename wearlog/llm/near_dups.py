@@ -165,6 +165,12 @@ def _near_sizes(n: str, m: str, rule: Rule):
     return (F.least(n, m) * rule.united) >= (F.greatest(n, m) * rule.shared)
 
 
+def _unsent(df: DataFrame) -> DataFrame:
+    """Rows with arrays for a join that sorts both sides: Spark takes an array for one value, so it would
+    broadcast, through the driver, tables many times larger than its limit."""
+    return df.hint("merge")
+
+
 def _short_pairs(posts: DataFrame, key: str, rule: Rule) -> DataFrame:
     p, q = posts.select(key, F.col("id").alias("p"), F.col("n").alias("pn")), posts.select(key, F.col("id").alias("q"), F.col("n").alias("qn"))
     joined = p.join(q, key).where((F.col("p") < F.col("q")) & _near_sizes("pn", "qn", rule))
@@ -242,11 +248,11 @@ def _all_across(lists: DataFrame, rule: Rule) -> DataFrame:
     pair has one member outside the list's largest group at least, the left one here
     (the one with the lesser sid if both are)."""
     held = lists.groupBy("sid").agg(F.sort_array(F.collect_set("v")).alias("vs"))
-    rows = lists.join(held, "sid").withColumn("outer", F.col("own") != F.col("home"))
+    rows = lists.join(_unsent(held), "sid").withColumn("outer", F.col("own") != F.col("home"))
     p = rows.where("outer").select("v", F.col("sid").alias("p"), F.col("n").alias("pn"), F.col("own").alias("po"), F.col("vs").alias("pv"))
     q = rows.select("v", F.col("sid").alias("q"), F.col("n").alias("qn"), F.col("own").alias("qo"), "outer", F.col("vs").alias("qv"))
     first = F.get(F.array_intersect("pv", "qv"), F.lit(0)) == F.col("v")
-    met = p.join(q, "v").where((F.col("po") != F.col("qo")) & (~F.col("outer") | (F.col("p") < F.col("q"))) & _near_sizes("pn", "qn", rule) & first)
+    met = p.join(_unsent(q), "v").where((F.col("po") != F.col("qo")) & (~F.col("outer") | (F.col("p") < F.col("q"))) & _near_sizes("pn", "qn", rule) & first)
     return met.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"))
 
 
@@ -262,11 +268,11 @@ def _against_pivots(apart: DataFrame, whole: DataFrame, rule: Rule) -> DataFrame
     pivots = long.join(weight, "sid").groupBy("v").agg(F.max_by("sid", F.struct("lists", -F.col("id"), "sid")).alias("p"))
     pairs = long.select("v", "sid").join(pivots, "v").where("sid <> p").select("sid", "p").distinct()
     salt = F.pmod(F.xxhash64("sid"), F.lit(SALT))
-    sides = pairs.join(whole, "sid").withColumn("salt", salt)
+    sides = pairs.join(_unsent(whole), "sid").withColumn("salt", salt)
     centres = whole.join(pivots.select(F.col("p").alias("sid")).distinct(), "sid", "left_semi").select(
         F.col("sid").alias("p"), F.col("id").alias("pid"), F.col("n").alias("pn"), F.col("vals").alias("pv"), F.explode(F.sequence(F.lit(0), F.lit(SALT - 1)).cast("array<bigint>")).alias("salt")
     )
-    both = sides.join(centres, ["p", "salt"]).withColumn("shared", F.size(F.array_intersect("vals", "pv")))
+    both = sides.join(_unsent(centres), ["p", "salt"]).withColumn("shared", F.size(F.array_intersect("vals", "pv")))
     united = F.col("n") + F.col("pn") - F.col("shared")
     both = both.withColumn("linked", F.col("shared") * rule.united >= united * rule.shared).withColumn("alike", F.floor(100 * F.col("shared") / united))
     signed = lambda c, sign: F.transform(c, lambda x: F.xxhash64(F.col("p"), x, F.lit(sign)))
@@ -309,7 +315,7 @@ def _next_lists(met: DataFrame, whole: DataFrame, joined: DataFrame, rule: Rule)
 def _with_sets(pairs: DataFrame, sets: DataFrame, key: str = "id") -> DataFrame:
     """Each pair with both sides' ids, values and sizes."""
     side = lambda x: sets.select(F.col(key).alias(x), F.col("id").alias(f"id{x}"), F.col("n").alias(f"n{x}"), F.col("vals").alias(f"v{x}"))
-    return pairs.join(side("a"), "a").join(side("b"), "b")
+    return pairs.join(_unsent(side("a")), "a").join(_unsent(side("b")), "b")
 
 
 def estimated(pairs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
